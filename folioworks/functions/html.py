@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from folioworks.functions.text import (
     clean_text,
-    col_,
     regex_all,
     regex_first,
     strip_noise_text,
@@ -59,20 +58,21 @@ def hrefs(html: Column | str) -> Column:
 
 
 def anchors(html: Column | str) -> Column:
-    """All links in order as ``struct<href, title>``."""
-    src = strip_noise_text(html)
+    """All links in order as ``struct<href, title>``. The page is scanned once, then only its links."""
     return F.transform(
-        F.arrays_zip(regex_all(src, ANCHOR, 1).alias("h"), regex_all(src, ANCHOR, 2).alias("t")),
+        regex_all(strip_noise_text(html), ANCHOR, 0),
         lambda a: F.struct(
-            unescape_html(a["h"]).alias("href"), strip_ws(unescape_html(strip_tags(a["t"]))).alias("title")
+            unescape_html(regex_first(a, ANCHOR, 1)).alias("href"),
+            strip_ws(unescape_html(strip_tags(regex_first(a, ANCHOR, 2)))).alias("title"),
         ),
     )
 
 
 def link_attrs(html: Column | str) -> Column:
     """Every ``href`` and ``src`` in order as ``struct<attr, raw>``."""
-    src = strip_noise_text(col_(html))
     return F.transform(
-        F.arrays_zip(regex_all(src, LINK_ATTR, 1).alias("a"), regex_all(src, LINK_ATTR, 2).alias("v")),
-        lambda x: F.struct(F.lower(x["a"]).alias("attr"), unescape_html(x["v"]).alias("raw")),
+        regex_all(strip_noise_text(html), LINK_ATTR, 0),
+        lambda a: F.struct(
+            F.lower(regex_first(a, LINK_ATTR, 1)).alias("attr"), unescape_html(regex_first(a, LINK_ATTR, 2)).alias("raw")
+        ),
     )

@@ -26,13 +26,22 @@ NOISE_PATTERNS = (
 )
 
 
+# The white space that text is trimmed and collapsed by, Unicode included.
+WHITE_SPACE = (
+    " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+# A run of it that is not one plain blank already.
+RUN = f" ?[{WHITE_SPACE[1:]}][{WHITE_SPACE}]*| {{2,}}[{WHITE_SPACE}]*"
+
+
 def col_(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def strip_ws(c: Column | str) -> Column:
     """Trim every kind of white space, not just blanks."""
-    return F.regexp_replace(col_(c), r"(?U)^\s+|\s+$", "")
+    return F.btrim(col_(c), F.lit(WHITE_SPACE))
 
 
 def clean_text(c: Column | str, preserve_formatting: bool = False) -> Column:
@@ -43,9 +52,9 @@ def clean_text(c: Column | str, preserve_formatting: bool = False) -> Column:
     text = F.coalesce(col_(c), F.lit(""))
     if preserve_formatting:
         text = F.regexp_replace(text, r"[ \t]+", " ")
-        text = F.regexp_replace(text, r"(?U)\n\s*\n\s*\n+", "\n\n")
+        text = F.regexp_replace(text, f"\n[{WHITE_SPACE}]*\n[{WHITE_SPACE}]*\n", "\n\n")
         return strip_ws(text)
-    return F.trim(F.regexp_replace(text, r"(?U)\s+", " "))
+    return F.trim(F.regexp_replace(text, RUN, " "))
 
 
 def strip_token(c: Column | str, token: str) -> Column:
@@ -103,10 +112,10 @@ def escape_html(c: Column | str) -> Column:
 
 
 def unescape_html(c: Column | str) -> Column:
-    out = col_(c)
+    text = out = col_(c)
     for entity, char in ENTITIES.items():
         out = F.replace(out, F.lit(entity), F.lit(char))
-    return out
+    return F.when(F.contains(text, F.lit("&")), out).otherwise(text)
 
 
 def escape_quotes(c: Column | str) -> Column:

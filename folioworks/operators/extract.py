@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import partial
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -13,11 +14,9 @@ from pyspark.sql.pandas.types import to_arrow_type
 from folioworks.functions import html as H
 from folioworks.functions.dates import parse_archive_date
 from folioworks.functions.text import clean_text, normalise_categories, parse_count, parse_signature, strip_noise_text, strip_token
-from folioworks.functions.urls import Site, resolve_url
-from folioworks.operators.filters import internal_links, split_malformed
-from folioworks.operators.htmltree import compile_selector, parse, select, to_markdown
+from folioworks.functions.urls import resolve_url
+from folioworks.operators.htmltree import Page, compile_selector, select, to_markdown
 from folioworks.operators.markdown import space_blocks
-from folioworks.operators.windows import first_seen
 
 # Where a blog page keeps its parts. Pass another mapping for another page layout.
 POST_SELECTORS = {
@@ -53,16 +52,17 @@ def _compiled(fields):
     ]
 
 
-def _read(root, fields):
+def _read(root, find, fields):
+    """Values of ``fields``; ``find`` gives the matches of a selector below ``root``."""
     out = {}
     for name, groups, mode in fields:
         if isinstance(mode, list):
-            out[name] = [_read(n, mode) for n in select(root, groups)]
+            out[name] = [_read(n, partial(select, n), mode) for n in find(groups)]
             continue
         if mode == "texts":
-            out[name] = [n.text() for n in select(root, groups)]
+            out[name] = [n.text() for n in find(groups)]
             continue
-        node = root if groups is None else next(select(root, groups), None)
+        node = root if groups is None else next(iter(find(groups)), None)
         if node is None:
             out[name] = None
         elif mode == "text":
@@ -97,7 +97,8 @@ def html_fields(html: Column | str, fields: Mapping) -> Column:
         rows = []
         for page in pages:
             try:
-                rows.append(_read(parse(page.as_py()), plan))
+                tree = Page(page.as_py())
+                rows.append(_read(tree.root, tree.select, plan))
             except Exception as problem:  # one bad page must not fail the batch
                 rows.append({"error": f"{type(problem).__name__}: {problem}"})
         return pa.array(rows, type=arrow)
@@ -222,7 +223,7 @@ def migrate_domain(df: DataFrame, cols: list[str], old: str, new: str) -> DataFr
 
 
 def split_outcome(posts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(posts that were read, failures)."""
+    """(posts that were read, failures). Both read ``posts``, so give it a written table, not a pending parse."""
     ok = F.col("status") == "ok"
     return posts.where(ok), posts.where(~ok).select("url", "error")
 
@@ -259,10 +260,3 @@ def join_paragraphs(pages: DataFrame, key: str = "page_id", html: str = "html")
 
 def strip_noise(df: DataFrame, col: str) -> DataFrame:
     return df.withColumn(col, strip_noise_text(col))
-
-
-def archive_manifest(pages: DataFrame, site: Site, section: str | None = None) -> DataFrame:
-    """Internal, well-formed, first-seen links of index pages: ``(url, path, title, page_id, pos)``."""
-    good, _ = split_malformed(internal_links(extract_links(pages, section), site.section), "href")
-    rows = good.select(F.col("target").alias("url"), F.col("href").alias("path"), "title", "page_id", "pos")
-    return first_seen(rows, "url", ["page_id", "pos"])

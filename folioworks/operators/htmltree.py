@@ -11,6 +11,7 @@ BLOCK = frozenset(
     "address article aside blockquote center dd details div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table tbody td tfoot th thead tr ul".split()
 )
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ENDS_P = BLOCK - frozenset("dd dt li tbody td tfoot th thead tr".split())
 CELLS = frozenset(("td", "th"))
 ROWS = CELLS | {"tr"}
@@ -85,6 +86,9 @@ class _Builder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("#root")
 
+    def updatepos(self, i, j):  # line numbers are not needed
+        return j
+
     def _end(self, tags, scope):
         """Leave the outermost open element of ``tags`` that lies within ``scope``."""
         node = self.at
@@ -171,6 +175,27 @@ def select(root, groups):
     return (n for n in root.walk() if any(_matches(n, steps) for steps in groups))
 
 
+class Page:
+    """A parsed page whose elements are listed by tag and class once, so that each selector looks at few."""
+
+    def __init__(self, html):
+        self.root = parse(html)
+        self.lists = {}
+        for node in self.root.walk():
+            for name in {node.tag, *("." + c for c in node.attrs.get("class", "").split())}:
+                self.lists.setdefault(name, []).append(node)
+
+    def select(self, groups):
+        if len(groups) > 1:
+            return select(self.root, groups)
+        (steps,) = groups
+        names = [f".{cls}" if cls else tag.lower() for tag, cls, *_ in steps[-1] if cls or tag not in ("", "*")]
+        if not names:
+            return select(self.root, groups)
+        few = min((self.lists.get(n, []) for n in names), key=len)
+        return (n for n in few if _matches(n, steps))
+
+
 # ---- Markdown
 
 
@@ -180,7 +205,10 @@ def drop_noise(node):
         kept = []
         for kid in el.kids:
             if isinstance(kid, str):
-                kid = "" if "CDATA" in kid else SCRIPT_RESIDUE.sub("", kid)
+                if "CDATA" in kid:
+                    continue
+                if "<" in kid:
+                    kid = SCRIPT_RESIDUE.sub("", kid)
             elif kid.tag in ("script", "style"):
                 continue
             kept.append(kid)
@@ -188,8 +216,12 @@ def drop_noise(node):
 
 
 def _squeeze(text):
-    text = re.sub(r"[ \t\r\n]*[\r\n][ \t\r\n]*", "\n", text)
-    return re.sub(r"[ \t]+", " ", text)
+    """Blanks to one blank, a run with a line break to one line break."""
+    if "\n" in text or "\r" in text:
+        text = re.sub(r"[ \t\r\n]*[\r\n][ \t\r\n]*", "\n", text)
+    if "  " in text or "\t" in text:
+        text = re.sub(r"[ \t]+", " ", text)
+    return text
 
 
 def _is_block(kid):
@@ -214,7 +246,7 @@ def _children(node, inline=False, pre=False):
                         kid = kid.lstrip()
                     if i == len(kids) - 1 or _is_block(kids[i + 1]):
                         kid = kid.rstrip()
-                kid = re.sub(r"([*_])", r"\\\1", kid)
+                kid = kid.replace("*", "\\*").replace("_", "\\_")
             out += kid
         else:
             out = _glue(out, _convert(kid, inline, pre))
@@ -284,11 +316,11 @@ def _convert(node, inline=False, pre=False):
         return _list(node)
     if tag == "table":
         return _table(node)
-    heading = re.fullmatch(r"h([1-6])", tag)
-    text = _children(node, inline or heading is not None or tag in CELLS, pre or tag in ("pre", "code"))
+    heading = tag in HEADINGS
+    text = _children(node, inline or heading or tag in CELLS, pre or tag in ("pre", "code"))
     if heading:
         text = re.sub(r"\s+", " ", text).strip()
-        return f"\n\n{'#' * int(heading[1])} {text}\n\n" if text else ""
+        return f"\n\n{'#' * int(tag[1])} {text}\n\n" if text else ""
     if tag in ("b", "strong"):
         return _around(text, "**")
     if tag in ("i", "em"):

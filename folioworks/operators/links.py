@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioworks.functions import html as H
-from folioworks.functions.text import col_, regex_all
+from folioworks.functions.text import col_, regex_all, regex_first
 from folioworks.functions.urls import HAS_SCHEME, Site, normalise_url, relative_path, resolve_url, url_fragment, url_host
 from folioworks.operators.joins import resolve_links
 
@@ -29,9 +29,12 @@ def rewrite_links(
     text: str = "content",
     path: str = "file_path",
     target_path: str = "file_path",
+    into: str | None = None,
 ) -> DataFrame:
     """Internal links whose page is in ``url_map(url, target_path)`` become relative paths; others stay.
 
+    The new text replaces ``text``, or goes to the column ``into`` next to it.
+
     Links of a document travel through the lookup as ``(key, pos, url)`` only; the text is joined back
     by key once. Documents without an internal link are passed by. The list rebuilt per document is
     bounded by that document's own text. A fragment is kept behind the new path.
@@ -57,8 +60,9 @@ def rewrite_links(
         F.col("_links._to"),
         lambda part, to: F.concat(F.lit(lead), to, F.lit(end), part),
     )
-    done = some.join(per_doc, key).withColumn(text, F.concat(parts[0], F.array_join(tail, "")))
-    return done.select(*docs.columns).unionByName(none)
+    done = some.join(per_doc, key).withColumn(into or text, F.concat(parts[0], F.array_join(tail, "")))
+    same = none.withColumn(into, F.col(text)) if into else none
+    return done.select(*same.columns).unionByName(same)
 
 
 def rewrite_markdown_links(docs: DataFrame, url_map: DataFrame, site: Site, **names: str) -> DataFrame:
@@ -93,13 +97,12 @@ def classify_links(docs: DataFrame, site: Site | None = None, key: str = "page_i
 def link_edges(posts: DataFrame, site: Site, text: str = "content") -> DataFrame:
     """Markdown links as edges: ``(src_url, pos, anchor_text, target_url, is_internal)``."""
     pattern = r"\[([^\]\n]*)\]\(([^)\s]*)\)"
-    pairs = F.arrays_zip(regex_all(text, pattern, 1).alias("a"), regex_all(text, pattern, 2).alias("t"))
-    found = posts.select(F.col("url").alias("src_url"), F.posexplode(pairs).alias("pos", "l"))
-    target = normalise_url(resolve_url(F.col("src_url"), F.col("l.t")), site)
+    found = posts.select(F.col("url").alias("src_url"), F.posexplode(regex_all(text, pattern, 0)).alias("pos", "l"))
+    target = normalise_url(resolve_url(F.col("src_url"), regex_first("l", pattern, 2)), site)
     return found.select(
         "src_url",
         "pos",
-        F.col("l.a").alias("anchor_text"),
+        regex_first("l", pattern, 1).alias("anchor_text"),
         target.alias("target_url"),
         F.startswith(target, F.lit(site.base_url + site.section)).alias("is_internal"),
     )

@@ -14,6 +14,7 @@ from folioworks.operators import windows as W
 from folioworks.plans import views as V
 from folioworks.plans.posts_catalog import rel_sql
 from folioworks.plans.registry import query
+from folioworks.sources.readers import spread
 from folioworks.plans.views import LINKED, LOG, MANIFEST, POSTS, SITE
 
 REPLACED = "CASE WHEN doc_id % 12 = 0 THEN link ELSE {} || frag END"
@@ -108,19 +109,17 @@ def link_rewrite_html(t):
 
 
 def both_texts(t):
-    old = V.linked(t).select("url", F.col("content").alias("before"))
-    new = L.rewrite_markdown_links(V.linked(t), md_map(t), SITE).select("url", "content")
-    return old.join(new, "url")
+    return L.rewrite_markdown_links(V.linked(t), md_map(t), SITE, into="rewritten").select("url", "content", "rewritten")
 
 
 @query(f"WITH {LINKED} SELECT url, {MD_TEXT.format(LOOKED_UP)} AS content FROM linked WHERE doc_id % 12 <> 0")
 def changed_docs(t):
-    return P.changed(both_texts(t), "before", "content").select("url", "content")
+    return P.changed(both_texts(t), "content", "rewritten").select("url", F.col("rewritten").alias("content"))
 
 
 @query(f"WITH {LINKED} SELECT count(*) FILTER (WHERE doc_id % 12 <> 0) AS changed, count(*) AS total FROM linked")
 def count_changed(t):
-    return A.count_changed(both_texts(t), "before", "content")
+    return A.count_changed(both_texts(t), "content", "rewritten")
 
 
 @query(
@@ -215,10 +214,10 @@ POSTINGS = r"""terms AS (SELECT doc_id, unnest(string_split_regex(lower(text), '
 
 @query(f"WITH {POSTINGS} SELECT term, doc_id, n FROM postings")
 def term_postings(t):
-    return A.term_postings(t.documents, "doc_id", "text")
+    return A.term_postings(spread(t.documents, "doc_id"), "doc_id", "text")
 
 
 @query(f"WITH {POSTS}, {POSTINGS} SELECT p.doc_id, p.url, n FROM posts p JOIN postings g ON g.doc_id = p.doc_id WHERE g.term = 'the' AND list_contains(categories, 'en')")
 def term_lookup(t):
-    postings = A.term_postings(t.documents, "doc_id", "text")
+    postings = A.term_postings(spread(t.documents, "doc_id"), "doc_id", "text")
     return A.find_posts(postings, V.posts(t), "The", "en", "doc_id").select("doc_id", "url", "n")

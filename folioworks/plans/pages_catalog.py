@@ -15,7 +15,7 @@ from folioworks.operators import joins as J
 from folioworks.operators import windows as W
 from folioworks.operators.markdown import html_to_markdown
 from folioworks.plans.registry import Tables, query
-from folioworks.sources.readers import scan_pages, spread
+from folioworks.sources.readers import scan_pages
 
 # ---- SQL pieces
 
@@ -70,7 +70,7 @@ H1 = clean(unescaped(tagless(r"regexp_extract(html, '(?is)<h1(?:\s[^>]*)?>(.*?)<
 
 
 def links(t: Tables):
-    return E.extract_links(scan_pages(t.spark, f"{t.folder}/pages.parquet"))
+    return E.extract_links(t.pages)
 
 
 @query("SELECT page_id, url, length(html) AS n_chars FROM pages")
@@ -164,7 +164,7 @@ def page_fields(t):
         "paragraphs": ("article p", "texts"),
         "links": ("nav li a[href]", {"href": (None, "attr:href"), "title": (None, "text")}),
     }
-    got = E.select_html(spread(t.pages, "page_id"), fields)
+    got = E.select_html(t.pages, fields)
     texts = F.filter(F.transform("paragraphs", X.strip_ws), lambda x: x != "")
     return got.select(
         "page_id", X.clean_text("title").alias("title"), X.clean_text("h1").alias("h1"), "lang",
@@ -175,7 +175,7 @@ def page_fields(t):
 
 @query(f"SELECT page_id, {H1} AS value FROM pages")
 def page_field_by_selector(t):
-    return E.extract_field(spread(t.pages, "page_id"), "article h1").select("page_id", "value")
+    return E.extract_field(t.pages, "article h1").select("page_id", "value")
 
 
 @query(f"WITH {PARAS} SELECT page_id, generate_subscripts(ps, 1) - 1 AS pos, unnest(ps) AS text FROM paras")
@@ -205,7 +205,7 @@ MD_ESCAPED_H1 = rf"replace(replace({H1}, '*', '\*'), '_', '\_')"
 def page_markdown(t):
     """Article body: paragraph texts first, then what is left."""
     article = F.regexp_extract("html", r"(?is)<article>(.*?)</article>", 0)
-    body = spread(t.pages, "page_id").select("page_id", article.alias("body"))
+    body = t.pages.select("page_id", article.alias("body"))
     return html_to_markdown(body, "body").select("page_id", "markdown")
 
 
@@ -227,5 +227,5 @@ bold AS (
 )
 def page_markdown_in_order(t):
     article = F.regexp_extract("html", r"(?is)<article>(.*?)</article>", 0)
-    body = spread(t.pages, "page_id").select("page_id", article.alias("body"))
+    body = t.pages.select("page_id", article.alias("body"))
     return html_to_markdown(body, "body", mode="document_order").select("page_id", "markdown")

@@ -17,6 +17,7 @@ from folioworks.operators.frontmatter import parse_front_matter
 from folioworks.plans import views as V
 from folioworks.plans.registry import query
 from folioworks.plans.views import AUTHOR, POSTS, SITE, THREADS
+from folioworks.session import materialise
 
 
 def big(name: str):
@@ -493,5 +494,6 @@ def extract_categories(t):
 def extraction_outcomes(t):
     """A page without a source is a failure and does not stop the others."""
     pages = V.blog_pages(t).withColumn("html", F.when(F.col("page_id") % 20 != 0, F.col("html")))
-    ok, failed = E.split_outcome(E.extract_posts(pages))
+    parsed = materialise(E.extract_posts(pages).select("url", "status", "error"), "outcomes")
+    ok, failed = E.split_outcome(parsed)
     return ok.select("url", F.lit("ok").alias("outcome")).unionByName(failed.select("url", F.lit("failed").alias("outcome")))

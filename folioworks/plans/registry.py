@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from folioworks.session import tune
+from folioworks.sources.readers import scan_pages, spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -40,3 +41,7 @@ class Tables:
         if name.startswith("_"):
             raise AttributeError(name)
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+
+    @property
+    def pages(self) -> DataFrame:
+        return spread(scan_pages(self.spark, f"{self.folder}/pages.parquet"), "page_id")

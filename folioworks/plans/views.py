@@ -14,6 +14,7 @@ from folioworks.functions.text import escape_html
 from folioworks.functions.urls import Site, post_archive_path, post_file_path
 from folioworks.operators.aggregates import archive_month
 from folioworks.plans.registry import Tables
+from folioworks.sources.readers import spread
 
 SITE = Site()
 AUTHOR = "Site Author"
@@ -54,7 +55,7 @@ def posts(t: Tables) -> DataFrame:
 
     cats = F.array("source", "lang")
     return (
-        t.documents.join(post_dates(t), "doc_id")
+        spread(t.documents, "doc_id").join(post_dates(t), "doc_id")
         .withColumn("comments", F.transform(F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(0))), comment))
         .select(
             "doc_id",
@@ -209,9 +210,9 @@ log AS (
 """
 
 
-def blog_pages(t: Tables) -> DataFrame:
+def blog_pages(t: Tables, source: DataFrame | None = None) -> DataFrame:
     """Posts as blog pages in the layout the default selectors read: ``(page_id, url, html)``."""
-    p = posts(t)
+    p = source or posts(t)
     lines = F.split("content", "\n", -1)
 
     def comment(c: Column) -> Column:
@@ -238,3 +239,43 @@ def blog_pages(t: Tables) -> DataFrame:
         F.array_join(F.transform("comments", comment), "\n"), F.lit("</div></body></html>"),
     )
     return p.select(F.col("doc_id").alias("page_id"), "url", html.alias("html"))
+
+
+# Posts as they come back out of the blog pages, and the same with links.
+def extracted_sql(source: str) -> str:
+    body = """array_to_string(list_filter(list_transform(string_split({}, chr(10)), lambda x: trim(x)), lambda x: x <> ''), chr(10) || chr(10))"""
+    md = r"trim(regexp_replace(replace(replace(c.content, '*', '\*'), '_', '\_'), '[ \t]+', ' ', 'g'))"
+    return rf"""
+extracted AS (
+  SELECT * REPLACE ({body.format(source)} AS content, trim(regexp_replace(title, '\s+', ' ', 'g')) AS title,
+    CASE WHEN doc_id % 50 = 0 THEN '' ELSE iso END AS date,
+    list_transform(comments, lambda c: {{'id': c.id, 'author': CASE WHEN c.author = '' THEN 'Guest' ELSE c.author END,
+      'date': c.date, 'content': {md}}}) AS comments)
+  FROM linked)
+"""
+
+
+def index_pages(t: Tables) -> DataFrame:
+    """Every document as an index page listing one link per line; many pages share their links."""
+    lines = F.split("text", "\n", -1)
+
+    def entry(line: Column, i: Column) -> Column:
+        return F.concat(
+            F.lit('<li><a href="/blog/'), F.col("doc_id") % 50, F.lit("/"), i, F.lit('.html">'),
+            escape_html(F.substring(line, 1, 20)), F.lit("</a></li>"),
+        )
+
+    html = F.concat(
+        F.lit('<html><body><h3>Latest</h3><ul><li><a href="/blog/latest.html">New</a></li></ul><h3>Entries by Title</h3><div><ul>'),
+        F.lit('<li><a href="/blog/NaN/NaN/NaN/x.html">Bad</a></li><li><a href="/about">About</a></li>'),
+        F.array_join(F.transform(lines, entry), ""),
+        F.lit('</ul></div><h3>Other</h3><ul><li><a href="/blog/other.html">Other</a></li></ul></body></html>'),
+    )
+    docs = spread(t.documents, "doc_id")
+    return docs.select(F.col("doc_id").alias("page_id"), F.lit(SITE.base_url + "/index/").alias("url"), html.alias("html"))
+
+
+INDEX_LINKS = r"""
+lines AS (SELECT doc_id, generate_subscripts(l, 1) - 1 AS i, unnest(l) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)),
+index_links AS (SELECT doc_id AS page_id, i + 2 AS pos, '/blog/' || (doc_id % 50) || '/' || i || '.html' AS path, trim(substr(line, 1, 20)) AS title FROM lines)
+"""

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioworks.functions.urls import Site, post_archive_path
-from folioworks.operators.filters import drop_blank
+from folioworks.operators.filters import changed, drop_blank
 from folioworks.operators.ordering import newest_first
 from folioworks.operators.render import master_entry
 
@@ -115,8 +115,9 @@ def write_listing(lines: DataFrame, order: list, path: str) -> None:
     lines.orderBy(*order).select("line").write.text(path)
 
 
-def write_rewritten_links(before: DataFrame, after: DataFrame, path: str, key: str = "url", text: str = "content") -> DataFrame:
-    """Write the documents whose text changed; returns ``(changed, total)``."""
-    pairs = before.select(key, F.col(text).alias("_old")).join(after, key)
-    pairs.where(~F.col("_old").eqNullSafe(F.col(text))).drop("_old").write.mode("overwrite").parquet(path)
-    return pairs.agg(F.count_if(~F.col("_old").eqNullSafe(F.col(text))).alias("changed"), F.count(F.lit(1)).alias("total"))
+def write_rewritten_links(pairs: DataFrame, path: str, before: str = "content", after: str = "rewritten") -> None:
+    """Write only the documents whose text changed, with the new text.
+
+    ``pairs`` carries both texts in one row, as ``rewrite_links(..., into=...)`` gives them.
+    """
+    changed(pairs, before, after).drop(before).withColumnRenamed(after, before).write.mode("overwrite").parquet(path)
