@@ -20,64 +20,42 @@ SITE = Site()
 AUTHOR = "Site Author"
 
 
-def _every(n: int) -> Column:
-    return F.col("doc_id") % n == 0
-
-
 def post_dates(t: Tables) -> DataFrame:
     """``(doc_id, url, iso, long)`` of every document."""
-    day = F.col("o_orderdate")
-    undated = F.concat(F.lit("http://site.example/blog/doc-"), F.col("doc_id"), F.lit(".html"))
-    dated = F.concat(
-        F.lit("http://site.example/blog/"), F.date_format(day, "yyyy/M/d"), F.lit("/doc-"), F.col("doc_id"), F.lit(".html")
-    )
-    orders = t.orders.select(F.col("o_orderkey").alias("doc_id"), "o_orderdate")
-    return t.documents.select("doc_id").join(orders, "doc_id").select(
+    orders = t.orders.selectExpr("o_orderkey AS doc_id", "o_orderdate AS day")
+    return t.documents.select("doc_id").join(orders, "doc_id").selectExpr(
         "doc_id",
-        F.when(_every(50), undated).otherwise(dated).alias("url"),
-        F.date_format(day, "yyyy-MM-dd").alias("iso"),
-        F.date_format(day, "EEEE, MMMM d, yyyy 'at' HH:mm").alias("long"),
+        """CASE WHEN doc_id % 50 = 0 THEN concat('http://site.example/blog/doc-', doc_id, '.html')
+           ELSE concat('http://site.example/blog/', date_format(day, 'yyyy/M/d'), '/doc-', doc_id, '.html') END AS url""",
+        "date_format(day, 'yyyy-MM-dd') AS iso",
+        "date_format(day, 'EEEE, MMMM d, yyyy \\'at\\' HH:mm') AS long",
     )
 
 
 def posts(t: Tables) -> DataFrame:
-    first = F.substring(F.substring_index("text", "\n", 1), 1, 40)
-    lines = F.split("text", "\n", -1)
-
-    def comment(line: Column, i: Column) -> Column:
-        n = i + 1
-        return F.struct(
-            n.cast("string").alias("id"),
-            F.when(n % 3 == 2, "").otherwise(F.col("source")).alias("author"),
-            F.when(n % 2 == 0, "").otherwise(F.col("iso")).alias("date"),
-            line.alias("content"),
-        )
-
-    cats = F.array("source", "lang")
     return (
-        spread(t.documents, "doc_id").join(post_dates(t), "doc_id")
-        .withColumn("comments", F.transform(F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(0))), comment))
-        .select(
+        spread(t.documents.join(post_dates(t), "doc_id"), "doc_id")
+        .selectExpr("*", "substring(substring_index(text, '\\n', 1), 1, 40) AS head", "split(text, '\\n', -1) AS lines")
+        .selectExpr(
             "doc_id",
             "url",
-            F.when(_every(11), "").when(_every(7), F.concat(F.lit('"'), first, F.lit('"'))).otherwise(first).alias("title"),
-            F.when(_every(9), "").otherwise(F.col("source")).alias("author"),
-            F.when(_every(50), "").when(_every(13), F.col("long")).otherwise(F.col("iso")).alias("date"),
-            F.when(_every(5), F.array().cast("array<string>"))
-            .when(_every(17), F.concat(cats, F.array(F.lit("What's Next?"))))
-            .otherwise(cats)
-            .alias("categories"),
-            F.col("text").alias("content"),
+            """CASE WHEN doc_id % 11 = 0 THEN '' WHEN doc_id % 7 = 0 THEN concat('"', head, '"') ELSE head END AS title""",
+            "CASE WHEN doc_id % 9 = 0 THEN '' ELSE source END AS author",
+            "CASE WHEN doc_id % 50 = 0 THEN '' WHEN doc_id % 13 = 0 THEN long ELSE iso END AS date",
+            """CASE WHEN doc_id % 5 = 0 THEN cast(array() AS array<string>)
+               WHEN doc_id % 17 = 0 THEN array(source, lang, "What's Next?") ELSE array(source, lang) END AS categories""",
+            "text AS content",
             "lang",
             "source",
-            (F.size("comments") + F.when(_every(10), 1).otherwise(0)).cast("bigint").alias("comments_count"),
-            "comments",
+            "cast(size(lines) - 1 + if(doc_id % 10 = 0, 1, 0) AS bigint) AS comments_count",
+            """transform(slice(lines, 2, greatest(size(lines) - 1, 0)), (x, i) -> struct(string(i + 1) AS id,
+               if((i + 1) % 3 = 2, '', source) AS author, if((i + 1) % 2 = 0, '', iso) AS date, x AS content)) AS comments""",
         )
         .withColumns({
             "file_path": post_file_path("url", SITE),
             "archive_path": post_archive_path("url", SITE),
         })
-        .withColumn("month", F.when(_every(50), None).otherwise(archive_month("archive_path")))
+        .withColumn("month", F.when(F.col("doc_id") % 50 != 0, archive_month("archive_path")))
     )
 
 
@@ -114,20 +92,20 @@ posts AS (
 def linked(t: Tables, html: bool = False) -> DataFrame:
     """Posts with ``content`` extended by an internal and an external link; every 12th target is missing."""
     n = t.documents.select(F.count(F.lit(1))).scalar()
-    goal = post_dates(t).select(F.col("doc_id").alias("goal"), F.col("url").alias("goal_url"))
-    missing = F.concat(F.lit("http://site.example/blog/2000/1/1/gone-"), F.col("doc_id"), F.lit(".html"))
-    link = F.concat(
-        F.when(_every(12), missing)
-        .when(_every(9), F.replace("goal_url", F.lit("http://"), F.lit("http://www.")))
-        .otherwise(F.col("goal_url")),
-        F.when(_every(10), "#c1").otherwise(""),
+    goal = post_dates(t).selectExpr("doc_id AS goal", "url AS goal_url")
+    tail = (
+        """'\\n<a href="', link, '">see</a> <a href="http://other.example/blog/a.html">out</a> end'"""
+        if html
+        else """'\\n[see](', link, ') and [out](http://other.example/blog/a.html) end'"""
     )
-    if html:
-        tail = (F.lit('\n<a href="'), link, F.lit('">see</a> <a href="http://other.example/blog/a.html">out</a> end'))
-    else:
-        tail = (F.lit("\n[see]("), link, F.lit(") and [out](http://other.example/blog/a.html) end"))
     base = posts(t).withColumn("goal", (F.col("doc_id") * 7 + 3) % n).join(goal, "goal")
-    return base.withColumn("content", F.concat("content", *tail)).drop("goal", "goal_url")
+    made = base.selectExpr(
+        "* EXCEPT (goal, goal_url)",
+        """concat(CASE WHEN doc_id % 12 = 0 THEN concat('http://site.example/blog/2000/1/1/gone-', doc_id, '.html')
+           WHEN doc_id % 9 = 0 THEN replace(goal_url, 'http://', 'http://www.') ELSE goal_url END,
+           if(doc_id % 10 = 0, '#c1', '')) AS link""",
+    )
+    return made.withColumn("content", F.expr(f"concat(content, {tail})")).drop("link")
 
 
 LINKED = (
@@ -146,13 +124,13 @@ linked AS (
 
 def threads(t: Tables) -> DataFrame:
     """Turns of the conversations as comments on the post of the same number."""
-    urls = post_dates(t).select(F.col("doc_id").alias("conv_id"), "url", "iso")
-    return t.conversations.join(urls, "conv_id").select(
+    urls = post_dates(t).selectExpr("doc_id AS conv_id", "url", "iso")
+    return t.conversations.join(urls, "conv_id").selectExpr(
         "url",
         "turn",
-        F.when(F.col("turn") % 3 == 2, "").otherwise(F.col("role")).alias("author"),
-        F.when(F.col("turn") % 2 == 0, "").otherwise(F.col("iso")).alias("date"),
-        F.col("text").alias("content"),
+        "if(turn % 3 = 2, '', role) AS author",
+        "if(turn % 2 = 0, '', iso) AS date",
+        "text AS content",
     )
 
 
@@ -177,7 +155,7 @@ def manifest(t: Tables) -> DataFrame:
 
 
 def completed(t: Tables) -> DataFrame:
-    return post_dates(t).where(_every(3)).select("url")
+    return post_dates(t).where("doc_id % 3 = 0").select("url")
 
 
 MANIFEST = (

@@ -39,7 +39,8 @@ def spread(df: DataFrame, key: str, least: int | None = None) -> DataFrame:
     from running in the one task that reads a single row group.
     """
     cores = least or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
+    # Hashed by another function than joins use, else an earlier join on the key absorbs the step and is coalesced.
+    return df.repartition(cores, F.xxhash64(key)) if len(df.inputFiles()) < cores else df
 
 
 def scan_manifest(spark: SparkSession, path: str) -> DataFrame:
@@ -63,21 +64,20 @@ def archive_relative_dir(path: Column | str, root: str) -> Column:
 
 def scan_post_archive(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     """(post records with ``archive_path``, unreadable files) of a tree of ``data.json`` files."""
-    raw = (
-        spark.read.schema(POST_SCHEMA + ", _corrupt_record string")
-        .option("mode", "PERMISSIVE")
-        .json(root, multiLine=True, recursiveFileLookup=True, pathGlobFilter="data.json")
-        .withColumn("archive_path", archive_relative_dir(F.col("_metadata.file_path"), root))
+    files = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="data.json").select(
+        archive_relative_dir(F.col("_metadata.file_path"), root).alias("archive_path"), F.col("value").alias("source")
     )
+    shape = POST_SCHEMA + ", _corrupt_record string"
+    raw = files.withColumn("r", F.from_json("source", shape, {"mode": "PERMISSIVE"})).select("archive_path", "source", "r.*")
     good = F.col("_corrupt_record").isNull()
-    posts = raw.where(good).drop("_corrupt_record")
+    posts = raw.where(good).drop("_corrupt_record", "source")
     posts = posts.withColumns({
         "categories": F.coalesce("categories", F.array().cast("array<string>")),
         "comments": F.coalesce("comments", F.array().cast(f"array<{COMMENT}>")),
         "comments_count": F.coalesce("comments_count", F.lit(0)).cast("bigint"),
         **{c: F.coalesce(c, F.lit("")) for c in ("url", "title", "author", "date", "content", "content_html", "raw_html")},
     })
-    return posts, raw.where(~good).select("archive_path", F.col("_corrupt_record").alias("source"))
+    return posts, raw.where(~good).select("archive_path", "source")
 
 
 def scan_posts(spark: SparkSession, path: str) -> DataFrame:
