@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from folioworks.functions.text import col_, strip_ws
 
 # Accepted date shapes and the ISO check.
-WEEKDAY = r"(?i)^(?:mon|tues|wednes|thurs|fri|satur|sun)day, +"
-LONG_DATE = r"(?i)^(?:january|february|march|april|may|june|july|august|september|october|november|december) +\d{1,2}, +\d{4}$"
+LONG_DATE = (
+    r"(?i)^(?:(?:mon|tues|wednes|thurs|fri|satur|sun)day, +)?"
+    r"(january|february|march|april|may|june|july|august|september|october|november|december) +(\d{1,2}), +(\d{4})$"
+)
 SHORT_DATE = r"^\d{4}-\d{1,2}-\d{1,2}$"
 ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
 
@@ -22,8 +24,8 @@ def parse_archive_date(c: Column | str) -> Column:
     """``"Weekday, Month d, yyyy at hh:mm"``, ``"Month d, yyyy"`` or ISO to ISO; anything else unchanged."""
     raw = F.coalesce(col_(c), F.lit(""))
     day = strip_ws(F.substring_index(raw, " at ", 1))
-    bare = F.regexp_replace(F.regexp_replace(day, WEEKDAY, ""), r" +", " ")
-    long_form = F.when(bare.rlike(LONG_DATE), F.try_to_date(bare, "MMMM d, yyyy"))
+    bare = F.regexp_replace(day, LONG_DATE, "$1 $2, $3")
+    long_form = F.when(day.rlike(LONG_DATE), F.try_to_date(bare, "MMMM d, yyyy"))
     iso_form = F.when(day.rlike(SHORT_DATE), F.try_to_date(day, "yyyy-M-d"))
     return F.coalesce(F.date_format(F.coalesce(long_form, iso_form), "yyyy-MM-dd"), raw)
 

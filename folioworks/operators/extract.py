@@ -140,17 +140,22 @@ def _comment_fields(sel: Mapping) -> dict:
 
 
 def _comments(c: Column | str) -> Column:
-    def one(x: Column) -> Column:
+    """Raw comment fields to comments; the signature is read in a first step so it is split once."""
+
+    def signed(x: Column) -> Column:
         sign = parse_signature(F.coalesce(x["signature"], F.lit("")))
+        return F.struct(x["id"].alias("id"), sign.alias("sign"), x["content"].alias("md"), x["content_html"].alias("html"))
+
+    def comment(x: Column) -> Column:
         return F.struct(
             F.coalesce(strip_token(x["id"], "comment"), F.lit("")).alias("id"),
-            sign["author"].alias("author"),
-            parse_archive_date(sign["date"]).alias("date"),
-            space_blocks(x["content"]).alias("content"),
-            F.coalesce(x["content_html"], F.lit("")).alias("content_html"),
+            x["sign"]["author"].alias("author"),
+            parse_archive_date(x["sign"]["date"]).alias("date"),
+            space_blocks(x["md"]).alias("content"),
+            F.coalesce(x["html"], F.lit("")).alias("content_html"),
         )
 
-    return F.transform(F.col(c) if isinstance(c, str) else c, one)
+    return F.transform(F.transform(F.col(c) if isinstance(c, str) else c, signed), comment)
 
 
 def extract_comments(pages: DataFrame, selectors: Mapping = POST_SELECTORS, html: str = "html") -> DataFrame:
@@ -183,13 +188,14 @@ def extract_posts(
     }
     keep = [c for c in pages.columns if c not in ("url", html)]
     rec = pages.select(*keep, "url", html, html_fields(html, fields).alias("f")).select(*keep, "url", html, "f.*")
+    rec = rec.withColumn("date", clean_text("date"))  # a step of its own, since the date parse reads it often
     posts = rec.select(
         *keep,
         F.nullif(strip_token("post_id", "item"), F.lit("")).alias("post_id"),
         "url",
         clean_text("title").alias("title"),
         clean_text("author").alias("author"),
-        parse_archive_date(clean_text("date")).alias("date"),
+        parse_archive_date("date").alias("date"),
         space_blocks("content").alias("content"),
         F.coalesce("content_html", F.lit("")).alias("content_html"),
         normalise_categories("categories").alias("categories"),

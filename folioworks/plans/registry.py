@@ -32,7 +32,7 @@ def query(sql: str | None = None, name: str | None = None):
 
 
 class Tables:
-    """The given tables by name, and the views derived from them."""
+    """The given tables by name; each is opened once per query."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
@@ -40,8 +40,7 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-
-    @property
-    def pages(self) -> DataFrame:
-        return spread(scan_pages(self.spark, f"{self.folder}/pages.parquet"), "page_id")
+        path = f"{self.folder}/{name}.parquet"
+        table = spread(scan_pages(self.spark, path), "page_id") if name == "pages" else self.spark.read.parquet(path)
+        setattr(self, name, table)
+        return table

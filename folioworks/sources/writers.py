@@ -25,12 +25,17 @@ def write_manifest(df: DataFrame, path: str, source_url: str) -> None:
 
 
 def write_posts(df: DataFrame, path: str, site: Site = Site(), form: str = "parquet", mode: str = "append") -> None:
-    """Post records with a URL, partitioned by the year and month of that URL (``0`` when undated)."""
+    """Post records with a URL, partitioned by the year and month of that URL (``0`` when undated).
+
+    The rebalance keeps every task from writing a small file into every month, and splits a month that
+    outgrows the advisory size.
+    """
+
     def part(i: int):
         return F.coalesce(F.regexp_extract("url", site.dated_pattern, i).try_cast("int"), F.lit(0))
 
     rows = drop_blank(df, ["url"]).drop("raw_html").withColumns({"year": part(1), "month": part(2)})
-    rows.write.mode(mode).partitionBy("year", "month").format(form).save(path)
+    rows.hint("rebalance", "year", "month").write.mode(mode).partitionBy("year", "month").format(form).save(path)
 
 
 def write_raw_html(posts: DataFrame, path: str, mode: str = "append") -> None:
