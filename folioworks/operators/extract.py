@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Mapping
 from functools import partial
 
@@ -91,8 +92,6 @@ def html_fields(html: Column | str, fields: Mapping) -> Column:
 
     @F.arrow_udf(schema)
     def run(pages: pa.Array) -> pa.Array:
-        import sys
-
         sys.setrecursionlimit(50_000)
         rows = []
         for page in pages:

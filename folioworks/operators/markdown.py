@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import sys
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioworks.functions.text import col_, strip_ws
+from folioworks.operators.htmltree import parse, to_markdown
 
 
 def space_text(c: Column | str) -> Column:
@@ -38,10 +41,6 @@ def markdown_of(html: Column | str, mode: str = "paragraphs_first") -> Column:
 
     @F.arrow_udf("text string, spaced boolean")
     def run(sources: pa.Array) -> pa.Array:
-        import sys
-
-        from folioworks.operators.htmltree import parse, to_markdown
-
         sys.setrecursionlimit(50_000)
         rows = [dict(zip(("text", "spaced"), to_markdown(parse(s.as_py() or ""), first))) for s in sources]
         return pa.array(rows, type=kind)

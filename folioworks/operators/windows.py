@@ -7,6 +7,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from folioworks.session import materialise
+
+# Rows one task may be asked to sort at once when it numbers a range.
+ROWS_PER_RANGE = 5_000_000
+
 
 def first_seen(df: DataFrame, key: str = "url", order: Sequence[str] = ("page_id", "pos")) -> DataFrame:
     """The first row per key in document order.
@@ -27,6 +32,7 @@ def prefix_scan(
     sums: Mapping[str, Column] | None = None,
     position: str = "position",
     total: str | None = None,
+    limit: int | None = None,
 ) -> DataFrame:
     """Row number, group size and running sums per group, in two levels.
 
@@ -34,8 +40,19 @@ def prefix_scan(
     Counts and sums per range come from a partial aggregation; a window over those few rows gives every
     range its start values; a second window numbers the rows within one range. The largest unit a task
     sorts is therefore a range, not a group, however uneven the groups are.
+
+    With ``limit`` the largest range is counted first. If it has more rows, ranges of about equal size
+    are made instead by a range partitioning on the whole order, kept in a written table so that counts
+    and rows see the same cuts.
     """
     sums = dict(sums or {})
+    columns = df.columns
+    if limit is not None:
+        sizes = df.groupBy(*group, bucket.alias("_b")).agg(F.count(F.lit(1)).alias("n"))
+        if (sizes.agg(F.max("n")).first()[0] or 0) > limit:
+            ranged = df.repartitionByRange(*group, *order).withColumn("_range", F.spark_partition_id())
+            df = materialise(ranged, "ranges")
+            bucket = F.col("_range")
     # One struct as key: its equality treats nulls as equal, so rows with a null key are kept.
     keyed = df.withColumn("_k", F.struct(*group, bucket.alias("_b")))
     for name, value in sums.items():
@@ -55,7 +72,7 @@ def prefix_scan(
     within = Window.partitionBy("_k").orderBy(*order)
     upto = within.rowsBetween(Window.unboundedPreceding, 0)
     return keyed.join(starts, "_k").select(
-        *df.columns,
+        *columns,
         (F.col("_start") + F.row_number().over(within)).alias(position),
         *([F.col("_size").alias(total)] if total else []),
         *((F.col(f"_s_{name}") + F.sum(f"_v_{name}").over(upto)).alias(name) for name in sums),
@@ -70,11 +87,15 @@ def number_comments(
 
 
 def positions(
-    log: DataFrame, run: str = "run", order: Sequence[str] = ("ts", "event_id"), seconds: int = 10
+    log: DataFrame,
+    run: str = "run",
+    order: Sequence[str] = ("ts", "event_id"),
+    seconds: int = 10,
+    limit: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """Item i of N within a run: adds ``seq`` and ``run_size``. The first order column is a timestamp."""
     bucket = F.floor(F.unix_micros(F.col(order[0]).cast("timestamp")) / (seconds * 1_000_000))
-    return prefix_scan(log, [run], order, bucket, position="seq", total="run_size")
+    return prefix_scan(log, [run], order, bucket, position="seq", total="run_size", limit=limit)
 
 
 def checkpoints(
@@ -84,6 +105,7 @@ def checkpoints(
     order: Sequence[str] = ("ts", "event_id"),
     status: str = "status",
     seconds: int = 10,
+    limit: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """Running success and error totals of a run, sampled at every ``every``-th item."""
     ok = F.col(status) == "ok"
@@ -96,5 +118,6 @@ def checkpoints(
         sums={"successes": F.when(ok, 1).otherwise(0), "errors": F.when(ok, 0).otherwise(1)},
         position="seq",
         total="run_size",
+        limit=limit,
     )
     return scanned.where(F.col("seq") % every == 0).select(run, "seq", "run_size", "successes", "errors")

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import shutil
 import tempfile
 import uuid
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,22 +19,8 @@ RUNTIME_CONF = {
 }
 
 
-_shipped: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Send this package's code to the Python workers, wherever the driver imported it from."""
-    app = spark.sparkContext.applicationId
-    if app not in _shipped:
-        package = Path(__file__).parent
-        target = Path(tempfile.mkdtemp(prefix="folioworks-code-")) / package.name
-        spark.sparkContext.addPyFile(shutil.make_archive(str(target), "zip", package.parent, package.name))
-        _shipped.add(app)
-
-
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the run-time settings to a session somebody else created."""
-    ship_package(spark)
     for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
