@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioworks.functions.text import col_, strip_ws
@@ -43,3 +43,9 @@ def long_date(c: Column | str) -> Column:
 def xml_date(c: Column | str) -> Column:
     """ISO date to an XML schema timestamp at midnight UTC; null when it is no ISO date."""
     return F.when(is_iso_date(c), F.concat(col_(c), F.lit("T00:00:00+00:00")))
+
+
+def stamp(df: DataFrame, out: str = "extracted_at", text: bool = False) -> DataFrame:
+    """Add the time of the run, as a timestamp or as ``yyyy-MM-dd HH:mm:ss`` text."""
+    now = F.current_timestamp()
+    return df.withColumn(out, F.date_format(now, "yyyy-MM-dd HH:mm:ss") if text else now)

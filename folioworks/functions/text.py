@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # HTML entities decoded by the native path, ``&amp;`` last so nothing is decoded twice.
@@ -18,13 +18,9 @@ ENTITIES = {
     "&amp;": "&",
 }
 
-# Script elements, commented CDATA residue and bare CDATA sections.
-NOISE_PATTERNS = (
-    r"(?is)<script\b[^>]*>.*?</script\s*>",
-    r"(?s)//\s*<!\s*\[CDATA\[.*?\]\]>\s*//?",
-    r"(?s)<!\[CDATA\[.*?\]\]>",
-)
-
+# Script elements, and commented CDATA residue and bare CDATA sections.
+SCRIPT = r"(?is)<script\b[^>]*>.*?</script\s*>"
+CDATA_PATTERNS = (r"(?s)//\s*<!\s*\[CDATA\[.*?\]\]>\s*//?", r"(?s)<!\[CDATA\[.*?\]\]>")
 
 # The white space that text is trimmed and collapsed by, Unicode included.
 WHITE_SPACE = (
@@ -133,10 +129,11 @@ def strip_tags(c: Column | str) -> Column:
 
 
 def strip_noise_text(c: Column | str) -> Column:
-    out = col_(c)
-    for pattern in NOISE_PATTERNS:
-        out = F.regexp_replace(out, pattern, "")
-    return out
+    """Drop scripts and CDATA; the CDATA patterns are tried only on text that mentions it."""
+    bare = rest = F.regexp_replace(col_(c), SCRIPT, "")
+    for pattern in CDATA_PATTERNS:
+        rest = F.regexp_replace(rest, pattern, "")
+    return F.when(F.contains(col_(c), F.lit("CDATA")), rest).otherwise(bare)
 
 
 def parse_signature(c: Column | str) -> Column:
@@ -179,3 +176,13 @@ def parse_list_literal(c: Column | str) -> Column:
         return F.when(quoted, unescape_quotes(inner)).otherwise(strip_ws(x))
 
     return F.filter(F.transform(regex_all(c, LIST_ITEM, 0), item), lambda x: x != "")
+
+
+def to_record_json(df: DataFrame, out: str = "record") -> DataFrame:
+    """Whole rows as JSON text; null fields are written, too."""
+    return df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias(out))
+
+
+def from_record_json(df: DataFrame, schema: str, record: str = "record") -> DataFrame:
+    """JSON text back to columns; text that is not JSON gives nulls."""
+    return df.select(F.from_json(record, schema).alias("_r")).select("_r.*")

@@ -154,3 +154,11 @@ def relative_path(target: Column | str, current: Column | str) -> Column:
     )
     rest = F.slice(goal, shared + 1, F.size(goal) - shared)
     return F.concat(F.repeat(F.lit("../"), depth - shared), F.array_join(rest, "/"))
+
+
+def relative_url(path: Column | str, base: str = "") -> Column:
+    """A site path behind the site's base; absolute URLs stay."""
+    prefix = "/" + base.strip("/") if base.strip("/") else ""
+    return F.when(col_(path).rlike(HAS_SCHEME), col_(path)).otherwise(
+        F.concat(F.lit(prefix + "/"), F.regexp_replace(col_(path), r"^/+", ""))
+    )

@@ -180,8 +180,8 @@ def category_literals(t):
 def record_json(t):
     """Encode to JSON and decode again."""
     shape = "url string, title string, comments_count bigint, categories array<string>"
-    packed = V.posts(t).select(F.to_json(F.struct("url", "title", "comments_count", "categories")).alias("j"))
-    back = packed.select(F.from_json("j", shape).alias("r")).select("r.*")
+    packed = X.to_record_json(V.posts(t).select("url", "title", "comments_count", "categories"))
+    back = X.from_record_json(packed, shape)
     return back.withColumn("categories", F.array_join("categories", "|"))
 
 

@@ -8,7 +8,9 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folioworks.functions.dates import stamp
 from folioworks.functions.urls import Site, post_archive_path
+from folioworks.operators.aggregates import count_posts
 from folioworks.operators.filters import changed, drop_blank
 from folioworks.operators.ordering import newest_first
 from folioworks.operators.render import master_entry
@@ -17,11 +19,8 @@ from folioworks.operators.render import master_entry
 def write_manifest(df: DataFrame, path: str, source_url: str) -> None:
     """Rows under ``posts`` in manifest order and a one-row header (date, total, source) under ``header``."""
     df.select("pos", "url", "path", "title").orderBy("pos").write.json(f"{path}/posts")
-    df.agg(F.count(F.lit(1)).alias("total_posts")).select(
-        F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss").alias("extraction_date"),
-        "total_posts",
-        F.lit(source_url).alias("source_url"),
-    ).write.json(f"{path}/header")
+    header = stamp(count_posts(df).withColumn("source_url", F.lit(source_url)), "extraction_date", text=True)
+    header.write.json(f"{path}/header")
 
 
 def write_posts(df: DataFrame, path: str, site: Site = Site(), form: str = "parquet", mode: str = "append") -> None:
@@ -38,6 +37,15 @@ def write_posts(df: DataFrame, path: str, site: Site = Site(), form: str = "parq
     rows.hint("rebalance", "year", "month").write.mode(mode).partitionBy("year", "month").format(form).save(path)
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, key: str = "url", buckets: int = 1024) -> None:
+    """A table bucketed and sorted by ``key``.
+
+    Pages, manifest, completed URLs and posts kept this way, with the same number of buckets, join on the
+    key without moving page sources or texts through a shuffle.
+    """
+    df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
+
+
 def write_raw_html(posts: DataFrame, path: str, mode: str = "append") -> None:
     """Page sources in a table of their own, so that they stay out of every later shuffle."""
     drop_blank(posts, ["url"]).select("url", "raw_html").write.mode(mode).parquet(path)
@@ -103,16 +111,13 @@ def write_master_index(posts: DataFrame, path: str, source_site: str) -> None:
     """Summary entries newest first under ``posts``, header under ``header``. Totals count what is archived."""
     entries = master_entry(posts)
     newest_first(entries).write.json(f"{path}/posts")
-    entries.agg(F.count(F.lit(1)).alias("total_posts")).select(
-        F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss").alias("archive_created"),
-        "total_posts",
-        F.lit(source_site).alias("source_site"),
-    ).write.json(f"{path}/header")
+    header = stamp(count_posts(entries).withColumn("source_site", F.lit(source_site)), "archive_created", text=True)
+    header.write.json(f"{path}/header")
 
 
 def append_completed(results: DataFrame, path: str) -> None:
     """Append the successes; earlier rows are never rewritten and readers drop repeats."""
-    results.where("status = 'ok'").select("url", F.current_timestamp().alias("completed_at")).write.mode("append").parquet(path)
+    stamp(results.where("status = 'ok'").select("url"), "completed_at").write.mode("append").parquet(path)
 
 
 def write_listing(lines: DataFrame, order: list, path: str) -> None:

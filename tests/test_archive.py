@@ -234,6 +234,24 @@ def test_page_files(spark, tmp_path):
     assert [r.html for r in readers.scan_page_files(spark, str(tmp_path)).collect()] == ["<p>x</p>\n<p>y</p>"]
 
 
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
+    from folioworks.operators.joins import remaining
+
+    pages = spark.createDataFrame([(f"u{i}", "<p>") for i in range(20)], "url string, html string")
+    for name, df in (("t_pages", pages), ("t_done", pages.limit(5).select("url"))):
+        writers.write_bucketed(df, name, str(tmp_path / name), buckets=4)
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = remaining(spark.table("t_pages"), spark.table("t_done"))
+        assert "Exchange" not in left._jdf.queryExecution().executedPlan().toString()
+        assert left.count() == 15
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+        spark.sql("DROP TABLE t_pages")
+        spark.sql("DROP TABLE t_done")
+
+
 # ---- streams
 
 

@@ -136,3 +136,25 @@ def test_escape_html(spark):
 def test_paragraphs(spark):
     html = '<script>var t="</p>";</script><article><p> <b>one<br><p>two &amp; 2</p><p> </p><p>three<ul><li>x</li></ul></article>'
     assert column(spark, [html], H.paragraphs) == [["one", "two & 2", "three"]]
+
+
+def test_noise(spark):
+    values = [
+        "a<SCRIPT type=x>var t='</p>';\n</script>b", "a//<![CDATA[\nx\n//]]>//b", "a<![CDATA[ x ]]>b", "plain",
+        "a// <! [CDATA[x]]> //b", "<scripted>kept</scripted>",
+    ]
+    assert column(spark, values, X.strip_noise_text) == ["ab", "ab", "ab", "plain", "ab", "<scripted>kept</scripted>"]
+
+
+def test_relative_url(spark):
+    values = ["/a/b", "a", "http://x.example/"]
+    assert column(spark, values, lambda c: U.relative_url(c, "/base/")) == ["/base/a/b", "/base/a", "http://x.example/"]
+    assert column(spark, values[:2], U.relative_url) == ["/a/b", "/a"]
+
+
+def test_record_json_and_stamp(spark):
+    df = spark.createDataFrame([("u", None, ["a"])], "url string, title string, categories array<string>")
+    packed = X.to_record_json(df)
+    assert packed.first().record == '{"url":"u","title":null,"categories":["a"]}'
+    assert X.from_record_json(packed, "url string, title string, categories array<string>").first() == df.first()
+    assert re.fullmatch(r"\d{4}-\d\d-\d\d \d\d:\d\d:\d\d", D.stamp(df, "at", text=True).first()["at"])
