@@ -5,17 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# HTML entities decoded by the native path, ``&amp;`` last so nothing is decoded twice.
+# HTML entities decoded by the native path as patterns, since most of them count without
+# their semicolon, too. ``&amp;`` comes last so that nothing is decoded twice.
 ENTITIES = {
-    "&lt;": "<",
-    "&gt;": ">",
-    "&quot;": '"',
-    "&#39;": "'",
+    "&lt;?": "<",
+    "&gt;?": ">",
+    "&quot;?": '"',
+    "&#39;?": "'",
     "&apos;": "'",
-    "&nbsp;": "\u00a0",
-    "&copy;": "\u00a9",
-    "&middot;": "\u00b7",
-    "&amp;": "&",
+    "&nbsp;?": "\u00a0",
+    "&copy;?": "\u00a9",
+    "&middot;?": "\u00b7",
+    "&amp;?": "&",
 }
 
 # Script elements, and commented CDATA residue and bare CDATA sections.
@@ -110,7 +111,7 @@ def escape_html(c: Column | str) -> Column:
 def unescape_html(c: Column | str) -> Column:
     text = out = col_(c)
     for entity, char in ENTITIES.items():
-        out = F.replace(out, F.lit(entity), F.lit(char))
+        out = F.regexp_replace(out, entity, char)
     return F.when(F.contains(text, F.lit("&")), out).otherwise(text)
 
 

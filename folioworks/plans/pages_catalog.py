@@ -28,7 +28,7 @@ VISIBLE = rf"regexp_replace({NOISE}, '(?is)<style\b[^>]*>.*?</style\s*>|<!--.*?-
 
 def unescaped(x: str) -> str:
     for entity, char in X.ENTITIES.items():
-        x = f"replace({x}, '{entity}', '{char.replace(chr(39), chr(39) * 2)}')"
+        x = f"regexp_replace({x}, '{entity}', '{char.replace(chr(39), chr(39) * 2)}', 'g')"
     return x
 
 

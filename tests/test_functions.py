@@ -133,6 +133,13 @@ def test_escape_html(spark):
     assert column(spark, [text], lambda c: X.unescape_html(X.escape_html(c))) == [text]
 
 
+def test_unescape_html_like_python(spark):
+    import html
+
+    values = ["a &amp;lt; b", "cut&amp", "&lt;p&gt &quot;x&quot; &#39;y&apos;", "&copy;&middot;&nbsp;.", "no & entity"]
+    assert column(spark, values, X.unescape_html) == [html.unescape(v) for v in values]
+
+
 def test_paragraphs(spark):
     html = '<script>var t="</p>";</script><article><p> <b>one<br><p>two &amp; 2</p><p> </p><p>three<ul><li>x</li></ul></article>'
     assert column(spark, [html], H.paragraphs) == [["one", "two & 2", "three"]]
