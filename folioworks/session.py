@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 # Settings the jobs rely on. Joins carry no hints: the optimiser broadcasts a side only when
 # its size is known to be under the threshold, and skewed sides are split at run time.
 RUNTIME_CONF = {
@@ -40,9 +43,11 @@ def build_session(app: str = "folioworks", master: str | None = None, **conf: st
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster; only where none is set (tests) a temporary one."""
+    """The shared folder of the cluster. A local session (tests) without one gets a temporary folder."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="folioworks-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -53,8 +58,20 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession):
+    """Writes inside this block drop their shuffle files when they end; the caller's setting comes back after it."""
+    before = spark.conf.get(FREE_SHUFFLES, "false")
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
     path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with shuffles_freed(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
