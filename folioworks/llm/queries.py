@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioworks.llm import byte_bpe, simhash, token_files
+from folioworks.llm import byte_bpe, simhash, substring, token_files
 from folioworks.session import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,3 +44,9 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_path(spark, "token-shards")
     manifest = token_files.write_shards(docs, folder, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
     return token_files.read_documents(manifest, folder)
+
+
+@query()
+def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return substring.remove_repeats(docs, k=20)
