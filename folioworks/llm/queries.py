@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioworks.llm import byte_bpe, simhash, substring, token_files
+from folioworks.llm import byte_bpe, chat, line_rules, mixing, quality, simhash, substring, token_files
 from folioworks.session import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +50,25 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return substring.remove_repeats(docs, k=20)
+
+
+@query()
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return mixing.blocks(mixing.plan(docs, entropy_share=0.95))
+
+
+@query()
+def op6_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.line_verdicts(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+@query()
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("documents", "labels"))
+    return quality.classify(docs, labels)
+
+
+@query()
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rotate(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
