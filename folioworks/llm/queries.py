@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioworks.llm import byte_bpe, chat, line_rules, mixing, quality, simhash, substring, token_files
+from folioworks.llm import byte_bpe, chat, line_rules, lm_score, mixing, quality, simhash, substring, token_files, topk
 from folioworks.session import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,13 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+@query()
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+@query()
+def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), k=5, every=50)
