@@ -124,7 +124,9 @@ def repeated_spans(documents: DataFrame, k: int = 20, m: int = 8, key: str = "do
     source = _source(documents, key, text)
     runs = _runs(source, k, m)
     often = runs.groupBy("h").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("h")
-    runs = materialise(runs.join(often, "h", "left_semi").distinct(), "runs")
+    # Dealt anew by place before repeats go, else the repeats would bind the join to one task per hash.
+    kept = runs.join(often, "h", "left_semi").repartition(*PLACE)
+    runs = materialise(kept.distinct(), "runs")
 
     place = F.struct(*PLACE)
     classes = runs.groupBy("h", "run").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("occ"), F.min("n").alias("size"))
