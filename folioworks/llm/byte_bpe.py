@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
 from folioworks.llm.common import kept_in_process, parts
-from folioworks.llm.token_cache import PieceCache, encode_column, gather
+from folioworks.llm.token_cache import PieceCache, encode_column, gather, piece_encoder
 
 SLICE_BYTES = 6 << 20
 
@@ -70,7 +70,8 @@ class Codec:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         tokenizer = build_tokenizer(ranks, pattern)
-        self.cache = PieceCache(lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+        signs = byte_characters()
+        self.cache = PieceCache(piece_encoder(tokenizer, lambda piece: piece.replace(" ", signs[32])))
         table = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             table[rank] = token

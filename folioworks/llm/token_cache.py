@@ -1,22 +1,41 @@
 """Whole texts through a tokenizer of the tokenizers library, each distinct piece of text once.
 
 A text is cut where both tokenizers in use cut it anyway: before a single space that stands between visible
-ASCII characters, and between an ASCII letter and one of ``. , ! ? ; :``. No match of their patterns reaches
+ASCII characters, on both sides of a single line feed there, and between an ASCII letter and one of ``. , ! ? ; :``. No match of their patterns reaches
 over such a cut, so the ids of the pieces, put together, are the ids of the text. Equal pieces of a slice are
 found by Arrow's dictionary encoding, and pieces met before come from a cache of bounded size.
 """
 
 from __future__ import annotations
 
+import re
 from array import array
 from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+from tokenizers import Tokenizer
 
 PIECES_KEPT = 300_000
 
 
+LETTERS = re.compile(r" ?[A-Za-z]+")
+
+
+def piece_encoder(tokenizer: Tokenizer, written: Callable[[str], str]) -> Callable[[list[str]], list[list[int]]]:
+    """Ids of pieces. A piece of ASCII letters, after a space perhaps, is one match of the pattern, and goes straight to
+    the BPE model in the form that ``written`` gives it; all others go through the whole tokenizer."""
+    direct = Tokenizer(tokenizer.model)
+
+    def encode(pieces: list[str]) -> list[list[int]]:
+        plain = [LETTERS.fullmatch(p) is not None for p in pieces]
+        short = iter(direct.encode_batch_fast([written(p) for p, is_plain in zip(pieces, plain) if is_plain], add_special_tokens=False))
+        other = iter(tokenizer.encode_batch_fast([p for p, is_plain in zip(pieces, plain) if not is_plain], add_special_tokens=False))
+        return [next(short if is_plain else other).ids for is_plain in plain]
+
+    return encode
+
+
 class PieceCache:
     """Ids by piece in two generations of ``PIECES_KEPT``; pieces not met for a generation go."""
 
@@ -48,8 +67,11 @@ def _edges(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     cut = np.zeros(len(data) + 1, bool)
     if len(data) > 2:
         before, here, after = data[:-2], data[1:-1], data[2:]
-        visible = before - np.uint8(33) < 94
-        np.logical_and(here == 32, visible & (after - np.uint8(33) < 94), out=cut[1:-2])
+        visible = (before - np.uint8(33)) < 94
+        visible &= after - np.uint8(33) < 94
+        line = visible & (here == 10)
+        np.logical_or(line, visible & (here == 32), out=cut[1:-2])
+        cut[2:-1] |= line
         marks = np.zeros(256, bool)
         marks[np.frombuffer(b".,!?;:", np.uint8)] = True
         cut[1:-2] |= marks[here] & ((before | 32) - np.uint8(97) < 26)
@@ -57,8 +79,16 @@ def _edges(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
-def encode_column(texts: pa.Array, cache: PieceCache) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all ``texts`` one after another, and the end of each text in them; a null text is empty."""
+def _lowered(data: np.ndarray) -> np.ndarray:
+    """UTF-8 bytes with A-Z in lower case."""
+    return data + ((data - np.uint8(65)) < 26) * np.uint8(32)
+
+
+def encode_column(texts: pa.Array, cache: PieceCache, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all ``texts`` one after another, and the end of each text in them; a null text is empty.
+
+    ``lower`` is for tokenizers that lower-case anyway: there are fewer different pieces then.
+    """
     texts = texts.cast(pa.large_binary()).fill_null(b"")
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
@@ -66,7 +96,7 @@ def encode_column(texts: pa.Array, cache: PieceCache) -> tuple[np.ndarray, np.nd
     if not len(texts) or offsets[-1] == offsets[0]:
         return np.empty(0, "<u4"), np.zeros(len(texts), np.int64)
     data = np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
-    offsets = offsets - offsets[0]
+    data, offsets = _lowered(data) if lower else data, offsets - offsets[0]
     edges = _edges(data, offsets)
     pieces = pa.LargeBinaryArray.from_buffers(
         pa.large_binary(), len(edges) - 1, [None, pa.py_buffer(edges.astype(np.int64)), pa.py_buffer(data)]

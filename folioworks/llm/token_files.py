@@ -35,7 +35,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from tokenizers import Tokenizer
 
 from folioworks.llm.common import kept_in_process, parts
-from folioworks.llm.token_cache import PieceCache, encode_column
+from folioworks.llm.token_cache import PieceCache, encode_column, piece_encoder
 from folioworks.session import materialise
 
 MAGIC = b"FWTOKS01"
@@ -98,11 +98,14 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         tokenizer = Tokenizer.from_str(tokenizer_json)
         tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
-        self.end_id = end_id
-        self.cache = PieceCache(lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+        self.end_id, self.lower = end_id, '{"type":"Lowercase"}' in tokenizer.to_str()
+        self.cache = PieceCache(
+            piece_encoder(tokenizer, str.lstrip) if self.lower
+            else lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        )
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        ids, ends = encode_column(texts, self.cache)
+        ids, ends = encode_column(texts, self.cache, self.lower)
         return np.insert(ids, ends, self.end_id), ends + np.arange(1, len(ends) + 1)
 
 
