@@ -50,7 +50,7 @@ def text_rules(documents: DataFrame, text: str) -> DataFrame:
         "n_words": F.size("_hashes").cast("bigint"),
         "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint"),
         # Window hash and place, sorted: equal windows stand side by side.
-        "_sorted": F.when(F.size("_hashes") >= WINDOW, F.array_sort(F.transform(
+        "_sorted": F.when(F.size("_hashes") >= WINDOW, F.sort_array(F.transform(
             F.sequence(F.lit(0), F.size("_hashes") - WINDOW),
             lambda i: F.struct(F.xxhash64(*(F.get("_hashes", i + j) for j in range(WINDOW))).alias("h"), i.alias("i")),
         ))),
@@ -59,7 +59,7 @@ def text_rules(documents: DataFrame, text: str) -> DataFrame:
         F.col("_sorted"),
         lambda x, j: (F.get("_sorted", j + 1)["h"] == x["h"]) | ((j > 0) & (F.get("_sorted", j - 1)["h"] == x["h"])),
     )
-    second = first.withColumn("_places", F.array_sort(F.transform(twice, lambda x: x["i"])))
+    second = first.withColumn("_places", F.sort_array(F.transform(twice, lambda x: x["i"])))
     begin = F.struct(F.lit(0).alias("end"), F.lit(0).cast("bigint").alias("n"))
     union = F.aggregate(
         F.coalesce("_places", F.array().cast("array<int>")), begin,
