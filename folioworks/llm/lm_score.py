@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,12 +26,12 @@ from folioworks.session import materialise
 
 CLASSES = 32
 CODES = CLASSES * CLASSES
-HIDDEN = 16
+HIDDEN = 12
 SIDES = (-2, -1, 1, 2)
 EDGE = CODES  # the row of a neighbour beyond the text
 SLICE_BYTES = 2 << 20
-BATCH = 2048
-RATE = 0.05
+BATCH = 4096
+RATE = 0.07
 SHAPES = {
     "side": (len(SIDES), CODES + 1, HIDDEN),
     "first": (HIDDEN + 1, CLASSES),
@@ -69,26 +70,36 @@ class Network:
         net.given[:] = np.log(table / table.sum(axis=1, keepdims=True))
         return net
 
-    def forward(self, around: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Log-probability of each code, and what a step of training needs."""
+    def _logits(self, around: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, ...]:
         summed = self.side[0][around[0]]
         for j in range(1, len(SIDES)):
             summed += self.side[j][around[j]]
-        hidden = np.tanh(summed)
+        hidden = np.tanh(summed, out=summed)
+        one, two = hidden @ self.first[:-1], hidden @ self.second
+        one += self.first[-1]
+        two += self.given[high]
+        for logits in (one, two):
+            logits -= logits.max(axis=1, keepdims=True)
+        return hidden, one, two
+
+    def forward(self, around: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """Log-probability of each code given its neighbours."""
         high, low = codes // CLASSES, codes % CLASSES
+        _, one, two = self._logits(around, high)
         rows = np.arange(len(codes))
-        one = _log_softmax(hidden @ self.first[:-1] + self.first[-1])
-        two = _log_softmax(hidden @ self.second + self.given[high])
-        return one[rows, high] + two[rows, low], hidden, one, two, high, low
+        told = one[rows, high] + two[rows, low]
+        return told - np.log(np.exp(one, out=one).sum(axis=1)) - np.log(np.exp(two, out=two).sum(axis=1))
 
     def learn(self, around: np.ndarray, codes: np.ndarray, rate: float, seen: Network) -> None:
         """One step down the mean loss of a batch. ``seen`` adds up squared gradients, by which every parameter's steps
         are scaled, so that rare neighbours learn as fast as common ones."""
-        _, hidden, one, two, high, low = self.forward(around, codes)
+        high, low = codes // CLASSES, codes % CLASSES
+        hidden, d_one, d_two = self._logits(around, high)
         rows, n = np.arange(len(codes)), len(codes)
-        d_one, d_two = np.exp(one) / n, np.exp(two) / n
-        d_one[rows, high] -= 1 / n
-        d_two[rows, low] -= 1 / n
+        for d, right in ((d_one, high), (d_two, low)):  # softmax less the right answer
+            np.exp(d, out=d)
+            d /= d.sum(axis=1, keepdims=True) * n
+            d[rows, right] -= 1 / n
         d_hidden = (d_one @ self.first[:-1].T + d_two @ self.second.T) * (1 - hidden * hidden)
 
         def move(name: str, at, gradient: np.ndarray) -> None:
@@ -113,18 +124,14 @@ def _summed(keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return keys[order][cuts], np.add.reduceat(rows[order], cuts)
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
-
-
 def coded(texts: list[bytes | None], codes: WordCodes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Codes of all words, their neighbours' (EDGE beyond a text) by side, and the number of words of each text."""
     split = [t.split() if t else [] for t in texts]
     counts = np.fromiter(map(len, split), np.int64, len(split))
-    flat = np.fromiter((codes[w] for doc in split for w in doc), np.int64, int(counts.sum()))
+    # Short integers: numpy sorts them by their digits.
+    flat = np.fromiter(map(codes.__getitem__, chain.from_iterable(split)), np.int16, int(counts.sum()))
     owner, place = spread_out(counts)
-    around = np.full((len(SIDES), len(flat)), EDGE, np.int64)
+    around = np.full((len(SIDES), len(flat)), EDGE, np.int16)
     for j, side in enumerate(SIDES):
         inside = (place + side >= 0) & (place + side < counts[owner])
         around[j, inside] = flat[np.flatnonzero(inside) + side]
@@ -191,7 +198,7 @@ def pseudo_likelihood(documents: DataFrame, state: np.ndarray, key: str = "doc_i
                 flat, around, counts = coded(as_bytes(piece.column("_text")), codes)
                 logs = np.zeros(len(flat))
                 for low in range(0, len(flat), BATCH):
-                    logs[low : low + BATCH] = net.forward(around[:, low : low + BATCH], flat[low : low + BATCH])[0]
+                    logs[low : low + BATCH] = net.forward(around[:, low : low + BATCH], flat[low : low + BATCH])
                 sums = np.concatenate([[0.0], np.cumsum(logs)])
                 ends = np.cumsum(counts)
                 total = np.where(counts > 0, np.round(sums[ends] - sums[ends - counts], 6), 0.0)
