@@ -1,5 +1,7 @@
 """Every registered query against its SQL counterpart on the smallest tables."""
 
+import re
+
 import duckdb
 import pytest
 from conftest import SMALL
@@ -22,10 +24,12 @@ def duck():
 
 
 def test_every_query_has_a_counterpart():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    """The training-data queries aside, which are held against brute force in their own tests."""
+    others = {q for q in contract.queries() if not re.match(r"op\d+_|pipeline$", q)}
+    assert others == set(contract.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
 def test_query_matches_sql(name, spark, duck):
     df = contract.queries()[name](spark, SMALL)
     got = [r.asDict() for r in df.collect()]
