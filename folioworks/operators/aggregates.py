@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioworks.functions.text import col_
+from folioworks.functions.text import col_, pad2
 from folioworks.functions.urls import url_host
 
 TOKEN_BREAK = r"[^\p{L}\p{N}_]+"
@@ -18,7 +18,7 @@ def count_posts(df: DataFrame) -> DataFrame:
 def archive_month(archive_path: Column | str) -> Column:
     """``posts/Y/M/...`` to ``YYYY-MM``."""
     parts = F.split(col_(archive_path), "/")
-    return F.concat(F.get(parts, 1), F.lit("-"), F.lpad(F.get(parts, 2), 2, "0"))
+    return F.concat(F.get(parts, 1), F.lit("-"), pad2(F.get(parts, 2)))
 
 
 def posts_by_month(posts: DataFrame) -> DataFrame:

@@ -35,24 +35,24 @@ def rewrite_links(
 
     The new text replaces ``text``, or goes to the column ``into`` next to it.
 
-    Links of a document travel through the lookup as ``(key, pos, url)`` only; the text is joined back
-    by key once. Documents without an internal link are passed by. The list rebuilt per document is
-    bounded by that document's own text. A fragment is kept behind the new path.
+    Links of a document travel through the lookup with a key of their own row (``key``, path and a hash of the text) and
+    come back to it in one left join: rows that share a key keep their own links, rows that are equal share them, and
+    null keys stay. The list rebuilt per document is bounded by its own text. A fragment is kept behind the new path.
     """
     pattern = link_regex(site, syntax)
     _, lead, end, _ = SYNTAX[syntax]
-    linked = F.coalesce(F.col(text).rlike(pattern), F.lit(False))
-    some, none = docs.where(linked), docs.where(~linked)
-    found = some.select(
-        key, F.col(path).alias("_here"), F.posexplode(regex_all(text, pattern, 1)).alias("_pos", "_raw")
+    # One struct as key: its equality treats nulls as equal.
+    keyed = docs.withColumn("_row", F.struct(F.col(key).alias("key"), F.col(path).alias("path"), F.xxhash64(text).alias("text")))
+    found = keyed.select(
+        "_row", F.col(path).alias("_here"), F.posexplode(regex_all(text, pattern, 1)).alias("_pos", "_raw")
     ).withColumn("_url", normalise_url("_raw", site))
     targets = url_map.select(F.col("url").alias("_url"), F.col(target_path).alias("_there"))
     new = F.concat(relative_path("_there", "_here"), url_fragment("_raw"))
-    per_doc = (
+    per_row = (
         resolve_links(found, targets, "_url")
-        .select(key, "_pos", F.coalesce(new, "_raw").alias("_to"))
-        .groupBy(key)
-        .agg(F.array_sort(F.collect_list(F.struct("_pos", "_to"))).alias("_links"))
+        .select("_row", "_pos", F.coalesce(new, "_raw").alias("_to"))
+        .groupBy("_row")
+        .agg(F.array_sort(F.collect_set(F.struct("_pos", "_to"))).alias("_links"))
     )
     parts = F.split(text, pattern, -1)
     tail = F.zip_with(
@@ -60,9 +60,8 @@ def rewrite_links(
         F.col("_links._to"),
         lambda part, to: F.concat(F.lit(lead), to, F.lit(end), part),
     )
-    done = some.join(per_doc, key).withColumn(into or text, F.concat(parts[0], F.array_join(tail, "")))
-    same = none.withColumn(into, F.col(text)) if into else none
-    return done.select(*same.columns).unionByName(same)
+    rebuilt = F.when(F.col("_links").isNull(), F.col(text)).otherwise(F.concat(parts[0], F.array_join(tail, "")))
+    return keyed.join(per_row, "_row", "left").withColumn(into or text, rebuilt).drop("_row", "_links")
 
 
 def rewrite_markdown_links(docs: DataFrame, url_map: DataFrame, site: Site, **names: str) -> DataFrame:

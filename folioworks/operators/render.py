@@ -85,12 +85,12 @@ def site_head(default_author: str) -> Column:
     return _lines(
         "---",
         F.concat(F.lit('title: "'), title, F.lit('"')),
-        F.concat(F.lit('author: "'), author, F.lit('"')),
+        F.concat(F.lit('author: "'), escape_quotes(author), F.lit('"')),
         F.when(is_iso_date(date), F.concat(F.lit("date: "), date)).when(
-            date.isNotNull(), F.concat(F.lit('date: "'), date, F.lit('"'))
+            date.isNotNull(), F.concat(F.lit('date: "'), escape_quotes(date), F.lit('"'))
         ),
         F.when(F.size("categories") > 0, F.concat(F.lit("categories: "), list_literal("categories"))),
-        F.when(_some("url"), F.concat(F.lit('original_url: "'), F.col("url"), F.lit('"'))),
+        F.when(_some("url"), F.concat(F.lit('original_url: "'), escape_quotes("url"), F.lit('"'))),
         "layout: post",
         "---",
         "",

@@ -35,7 +35,7 @@ def post_dates(t: Tables) -> DataFrame:
 def posts(t: Tables) -> DataFrame:
     return (
         spread(t.documents.join(post_dates(t), "doc_id"), "doc_id")
-        .selectExpr("*", "substring(substring_index(text, '\\n', 1), 1, 40) AS head", "split(text, '\\n', -1) AS lines")
+        .selectExpr("*", "substring_index(text, '\\n', 1) AS head", "split(text, '\\n', -1) AS lines")
         .selectExpr(
             "doc_id",
             "url",
@@ -63,7 +63,7 @@ POSTS = """
 posts0 AS (
   SELECT d.doc_id, d.text AS content, d.lang, d.source, o.o_orderdate AS day,
          string_split(d.text, chr(10)) AS lines,
-         substr(string_split(d.text, chr(10))[1], 1, 40) AS head,
+         string_split(d.text, chr(10))[1] AS head,
          strftime(o.o_orderdate, '%Y-%m-%d') AS iso
   FROM documents d JOIN orders o ON d.doc_id = o.o_orderkey),
 posts AS (
@@ -240,7 +240,7 @@ def index_pages(t: Tables) -> DataFrame:
     def entry(line: Column, i: Column) -> Column:
         return F.concat(
             F.lit('<li><a href="/blog/'), F.col("doc_id") % 50, F.lit("/"), i, F.lit('.html">'),
-            escape_html(F.substring(line, 1, 20)), F.lit("</a></li>"),
+            escape_html(line), F.lit("</a></li>"),
         )
 
     html = F.concat(
@@ -255,5 +255,5 @@ def index_pages(t: Tables) -> DataFrame:
 
 INDEX_LINKS = r"""
 lines AS (SELECT doc_id, generate_subscripts(l, 1) - 1 AS i, unnest(l) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)),
-index_links AS (SELECT doc_id AS page_id, i + 2 AS pos, '/blog/' || (doc_id % 50) || '/' || i || '.html' AS path, trim(substr(line, 1, 20)) AS title FROM lines)
+index_links AS (SELECT doc_id AS page_id, i + 2 AS pos, '/blog/' || (doc_id % 50) || '/' || i || '.html' AS path, trim(line) AS title FROM lines)
 """

@@ -32,15 +32,17 @@ def scan_page_files(spark: SparkSession, path: str, glob: str = "*.html") -> Dat
     )
 
 
-def spread(df: DataFrame, key: str, least: int | None = None) -> DataFrame:
-    """Repartition by ``key`` when the input has fewer files than the cluster has cores.
+SPREAD = "spark.folioworks.spread"
 
-    Only a small input qualifies, so a large one never pays for this shuffle; it keeps page parsing
-    from running in the one task that reads a single row group.
+
+def spread(df: DataFrame, key: str, parts: int | None = None) -> DataFrame:
+    """Deal ``df`` by ``key`` into as many parts as the caller asks for, here or in the setting ``spark.folioworks.spread``.
+
+    Without either the input stays as it is. The setting is for inputs of few row groups, whose pages a single task would parse.
     """
-    cores = least or df.sparkSession.sparkContext.defaultParallelism
+    parts = parts or int(df.sparkSession.conf.get(SPREAD, "0"))
     # Hashed by another function than joins use, else an earlier join on the key absorbs the step and is coalesced.
-    return df.repartition(cores, F.xxhash64(key)) if len(df.inputFiles()) < cores else df
+    return df.repartition(parts, F.xxhash64(key)) if parts else df
 
 
 def scan_manifest(spark: SparkSession, path: str) -> DataFrame:

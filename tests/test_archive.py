@@ -115,11 +115,10 @@ def test_local_archive(posts):
     assert out.master_index.first().date == "2011-09-02"
 
 
-@pytest.mark.parametrize("limit", [None, 10])
-def test_prefix_scan_equals_plain_counting(spark, limit):
+def test_prefix_scan_equals_plain_counting(spark):
     data = [("hot" if i % 3 else None, i * 7 % 1000, i, i % 5 == 0) for i in range(1000)]
     df = spark.createDataFrame(data, "g string, t long, i long, bad boolean")
-    got = W.prefix_scan(df, ["g"], ["t", "i"], F.floor(F.col("t") / 10), {"bads": F.col("bad").cast("int")}, "pos", "n", limit).collect()
+    got = W.prefix_scan(df, ["g"], ["t", "i"], F.floor(F.col("t") / 10), {"bads": F.col("bad").cast("int")}, "pos", "n").collect()
     assert len(got) == 1000
     for g, part in itertools.groupby(sorted(data, key=lambda r: (str(r[0]), r[1], r[2])), key=lambda r: r[0]):
         part = list(part)
@@ -131,9 +130,9 @@ def test_prefix_scan_equals_plain_counting(spark, limit):
 
 
 def test_positions_within_one_instant(spark):
-    """A burst at one instant fills a single time range; it is cut by the rest of the order."""
+    """A burst at one instant is numbered by the rest of the order."""
     df = spark.range(500).selectExpr("'r' AS run", "timestamp'2024-01-01' AS ts", "id AS event_id")
-    got = W.positions(df, limit=50)
+    got = W.positions(df)
     assert all(r.seq == r.event_id + 1 and r.run_size == 500 for r in got.collect())
 
 
