@@ -123,8 +123,9 @@ def repeated_spans(documents: DataFrame, k: int = 20, m: int = 8, key: str = "do
     source's words; single windows compared by digest already have none."""
     source = _source(documents, key, text)
     runs = _runs(source, k, m)
-    often = runs.groupBy("h").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("h")
-    # Dealt anew by place before repeats go, else the repeats would bind the join to one task per hash.
+    # A written list of hashes leaves the join two plain exchanges, so that Spark can split a frequent hash; dealt anew
+    # by place before repeats go, else the repeats would bind the join to one task per hash.
+    often = materialise(runs.groupBy("h").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("h"), "often")
     kept = runs.join(often, "h", "left_semi").repartition(*PLACE)
     runs = materialise(kept.distinct(), "runs")
 
@@ -162,6 +163,7 @@ def repeated_spans(documents: DataFrame, k: int = 20, m: int = 8, key: str = "do
     spans = materialise(spans.where(~F.col("source").eqNullSafe(F.struct(*PLACE))), "path-spans")
 
     mixed = classes.groupBy("h").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("h")
+    mixed = materialise(mixed, "mixed-hashes")
     open_runs = classes.join(mixed, "h", "left_semi").select("first.*", F.col("size").alias("n"), F.lit(True).alias("each"))
     wanted = spans.select("source.*", "n").distinct().withColumn("each", F.lit(False)).union(open_runs)
     lists = wanted.groupBy("doc", "v").agg(F.collect_list(F.struct("start", "n", "each")).alias("wanted"))
