@@ -105,8 +105,8 @@ def groups(rows: DataFrame, distance: int, key: Column) -> DataFrame:
     """``(fp, least)``: for every fingerprint of ``rows`` the least ``key`` of its group; null keys count last."""
     ends = materialise(rows.groupBy("fp").agg(F.min(key).alias("own")), "fingerprints")
     roots = components(near_pairs(ends.select("fp"), distance)).select(F.col("u").alias("fp"), F.col("v").alias("root"))
-    rooted = ends.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = rooted.groupBy("root").agg(F.min("own").alias("least"))
+    rooted = materialise(ends.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "rooted")
+    least = materialise(rooted.groupBy("root").agg(F.min("own").alias("least")), "group-least")
     return rooted.select("fp", "root").join(least, "root").select("fp", "least")
 
 
