@@ -16,9 +16,12 @@ from folioworks.functions.text import (
 )
 
 # Tag shapes used by the native path.
-HREF = r"""(?i)<a\s[^>]*?href\s*=\s*"([^"]*)\""""
-LINK_ATTR = r"""(?i)\s(href|src)\s*=\s*"([^"]*)\""""
-ANCHOR = r"""(?is)<a\s[^>]*?href\s*=\s*"([^"]*)"[^>]*>(.*?)</a\s*>"""
+# A value in double quotes, in single quotes, or in none (then up to a blank, inside the tag).
+IN_TAG = "(?=[^<>]*>)"
+VALUE = rf"""(?:"([^"]*)"|'([^']*)'|([^\s"'<>]+){IN_TAG})"""
+HREF = rf"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*{VALUE}"""
+LINK_ATTR = rf"""(?i)\s(href|src)\s*=\s*{VALUE}"""
+ANCHOR = rf"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*{VALUE}[^>]*>(.*?)</a\s*>"""
 P_OPEN = r"(?i)<p(?:\s[^>]*)?>"
 P_END = (
     r"(?is)<(?:/(?:p|article|section|main|body|html|div|td|li|blockquote)"
@@ -52,9 +55,15 @@ def paragraphs(html: Column | str) -> Column:
     return F.filter(inner, lambda x: x != "")
 
 
+def _value(match: Column, pattern: str, first: int = 1) -> Column:
+    """The attribute value of a match, whichever way it is quoted; the groups of the other ways are empty."""
+    alone = pattern.replace(IN_TAG, "")  # the match ends with the value, not with its tag
+    return F.concat(*(regex_first(match, alone, first + i) for i in range(3)))
+
+
 def hrefs(html: Column | str) -> Column:
-    """All link targets in order."""
-    return regex_all(strip_noise_text(html), HREF, 1)
+    """All link targets in order, as written."""
+    return F.transform(regex_all(strip_noise_text(html), HREF, 0), lambda a: _value(a, HREF))
 
 
 def anchors(html: Column | str) -> Column:
@@ -62,8 +71,8 @@ def anchors(html: Column | str) -> Column:
     return F.transform(
         regex_all(strip_noise_text(html), ANCHOR, 0),
         lambda a: F.struct(
-            unescape_html(regex_first(a, ANCHOR, 1)).alias("href"),
-            strip_ws(unescape_html(strip_tags(regex_first(a, ANCHOR, 2)))).alias("title"),
+            unescape_html(_value(a, ANCHOR), attribute=True).alias("href"),
+            strip_ws(unescape_html(strip_tags(regex_first(a, ANCHOR, 4)))).alias("title"),
         ),
     )
 
@@ -73,6 +82,29 @@ def link_attrs(html: Column | str) -> Column:
     return F.transform(
         regex_all(strip_noise_text(html), LINK_ATTR, 0),
         lambda a: F.struct(
-            F.lower(regex_first(a, LINK_ATTR, 1)).alias("attr"), unescape_html(regex_first(a, LINK_ATTR, 2)).alias("raw")
+            F.lower(regex_first(a, LINK_ATTR.replace(IN_TAG, ""), 1)).alias("attr"),
+            unescape_html(_value(a, LINK_ATTR, 2), attribute=True).alias("raw"),
         ),
     )
+
+
+def first_list(html: Column | str) -> Column:
+    """Source of the first ``ul`` with all lists inside it, ``""`` when there is none; one left open reaches to the end."""
+    parts = F.split(html, r"(?i)(?=</?ul[\s>])")
+    none = F.struct(F.lit(0).alias("at"), F.lit(0).alias("depth"), F.lit(0).alias("first"), F.lit(0).alias("last"))
+
+    def step(seen: Column, part: Column) -> Column:
+        opens, closes = part.rlike(r"(?i)^<ul[\s>]"), part.rlike(r"(?i)^</ul[\s>]")
+        at, depth = seen["at"] + 1, seen["depth"]
+        inside = (depth > 0) & (seen["last"] == 0)
+        return F.struct(
+            at.alias("at"),
+            F.when(opens, depth + 1).when(closes & (depth > 0), depth - 1).otherwise(depth).alias("depth"),
+            F.when(opens & (seen["first"] == 0), at).otherwise(seen["first"]).alias("first"),
+            F.when(closes & inside & (depth == 1), at).otherwise(seen["last"]).alias("last"),
+        )
+
+    found = F.aggregate(parts, none, step)
+    last = F.when(found["last"] == 0, F.size(parts) + 1).otherwise(found["last"])
+    inner = F.array_join(F.slice(parts, F.greatest(found["first"], F.lit(1)), last - F.greatest(found["first"], F.lit(1))), "")
+    return F.when(found["first"] > 0, inner).otherwise(F.lit(""))

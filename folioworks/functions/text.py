@@ -2,22 +2,17 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# HTML entities decoded by the native path as patterns, since most of them count without
-# their semicolon, too. ``&amp;`` comes last so that nothing is decoded twice.
-ENTITIES = {
-    "&lt;?": "<",
-    "&gt;?": ">",
-    "&quot;?": '"',
-    "&#39;?": "'",
-    "&apos;": "'",
-    "&nbsp;?": "\u00a0",
-    "&copy;?": "\u00a9",
-    "&middot;?": "\u00b7",
-    "&amp;?": "&",
-}
+# Names of HTML entities as the standard library lists them: with a semicolon, and the old ones that do without.
+NAMED = json.dumps(html5)
+OLD = "|".join(sorted((name for name in html5 if not name.endswith(";")), key=len, reverse=True))
+# Numbers 128 to 159 stand for characters of Windows-1252.
+WINDOWS = [bytes([b]).decode("cp1252", "ignore") or chr(b) for b in range(128, 160)]
 
 # Script elements, and commented CDATA residue and bare CDATA sections.
 SCRIPT = r"(?is)<script\b[^>]*>.*?</script\s*>"
@@ -108,10 +103,36 @@ def escape_html(c: Column | str) -> Column:
     return out
 
 
-def unescape_html(c: Column | str) -> Column:
-    text = out = col_(c)
-    for entity, char in ENTITIES.items():
-        out = F.regexp_replace(out, entity, char)
+def _character(code: Column) -> Column:
+    """The character with a number; one that cannot be gives the replacement character."""
+    usual = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    windows = F.element_at(F.array(*map(F.lit, WINDOWS)), F.least(F.greatest(code, F.lit(128)), F.lit(159)).cast("int") - 127)
+    bad = code.isNull() | (code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF)
+    return F.when(bad, "\ufffd").when(code.between(128, 159), windows).otherwise(usual)
+
+
+def unescape_html(c: Column | str, attribute: bool = False) -> Column:
+    """Named and numbered entities decoded. In an attribute an old name without its semicolon stays as it is
+    before ``=``, a letter or a digit, so that addresses like ``?a=1&copy=2`` keep their parameters."""
+    text, names = col_(c), F.from_json(F.lit(NAMED), "map<string,string>")
+    old = f"^(?:{OLD})" + ("(?![=A-Za-z0-9])" if attribute else "")
+
+    def decoded(part: Column) -> Column:
+        full, short = regex_first(part, "^[A-Za-z][A-Za-z0-9]*;", 0), regex_first(part, old, 0)
+        number = regex_first(part, "^#(?:[xX][0-9a-fA-F]+|[0-9]+);?", 0)
+        hexes, digits = regex_first(number, "[xX]0*([0-9a-fA-F]+)"), regex_first(number, "^#([0-9]+)")
+        hexed = F.when(F.length(hexes) <= 8, F.conv(F.when(F.length(hexes) <= 8, hexes), 16, 10).try_cast("bigint"))
+        code = F.when(digits != "", digits.try_cast("bigint")).otherwise(hexed)
+        rest = lambda head: F.substr(part, F.length(head) + 1)
+        return (
+            F.when(number != "", F.concat(_character(code), rest(number)))
+            .when((full != "") & F.element_at(names, full).isNotNull(), F.concat(F.element_at(names, full), rest(full)))
+            .when(short != "", F.concat(F.element_at(names, short), rest(short)))
+            .otherwise(F.concat(F.lit("&"), part))
+        )
+
+    parts = F.split(text, "&")
+    out = F.concat(parts[0], F.array_join(F.transform(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), decoded), ""))
     return F.when(F.contains(text, F.lit("&")), out).otherwise(text)
 
 

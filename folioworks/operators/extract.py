@@ -246,7 +246,7 @@ def extract_links(pages: DataFrame, section: str | None = None, key: str = "page
         after = F.when(F.col(html).rlike(heading), F.regexp_replace(html, heading, "")).otherwise(F.lit(""))
         # Up to the next heading of the same rank the first list wins, whether wrapped in a div or not.
         scope = F.regexp_replace(after, r"(?is)<h3[\s>].*$", "")
-        source = F.regexp_extract(scope, r"(?is)<ul(?:\s[^>]*)?>(.*?)</ul\s*>", 1)
+        source = H.first_list(scope)
     links = pages.select(key, "url", F.posexplode(H.anchors(source)).alias("pos", "link"))
     return links.select(
         key, "url", "pos", "link.href", "link.title", resolve_url(F.col("url"), F.col("link.href")).alias("target")

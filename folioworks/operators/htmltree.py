@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 # Fixed values of HTML: elements without content, and what an opening tag ends implicitly.
@@ -85,19 +86,43 @@ class _Builder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("#root")
+        self.open = Counter()
+        self.pieces = []
 
     def updatepos(self, i, j):  # line numbers are not needed
         return j
 
     def _end(self, tags, scope):
         """Leave the outermost open element of ``tags`` that lies within ``scope``."""
-        node = self.at
+        if not any(self.open[tag] for tag in tags):
+            return
+        node, leave = self.at, None
         while node.up is not None and node.tag not in scope:
             if node.tag in tags:
-                self.at = node.up
+                leave = node
             node = node.up
+        if leave is not None:
+            self._leave(leave)
+
+    def _leave(self, node):
+        """Go back to the parent of ``node``, an open element."""
+        while self.at is not node:
+            self.open[self.at.tag] -= 1
+            self.at = self.at.up
+        self.open[node.tag] -= 1
+        self.at = node.up
+
+    def _flush(self):
+        if self.pieces:
+            self.at.kids.append("".join(self.pieces))
+            self.pieces = []
+
+    def close(self):
+        super().close()
+        self._flush()
 
     def handle_starttag(self, tag, attrs):
+        self._flush()
         if tag in ENDS_P:
             self._end(frozenset(("p",)), P_SCOPE)
         if tag in IMPLIED_END:
@@ -106,22 +131,22 @@ class _Builder(HTMLParser):
         self.at.kids.append(node)
         if tag not in VOID:
             self.at = node
+            self.open[tag] += 1
 
     handle_startendtag = handle_starttag
 
     def handle_endtag(self, tag):
+        if not self.open[tag]:
+            return
+        self._flush()
         node, rank = self.at, RANK.get(tag, 100)
         while node.up is not None and node.tag != tag and RANK.get(node.tag, 100) <= rank:
             node = node.up
         if node.tag == tag and node.up is not None:
-            self.at = node.up
+            self._leave(node)
 
     def handle_data(self, data):
-        kids = self.at.kids
-        if kids and isinstance(kids[-1], str):
-            kids[-1] += data
-        else:
-            kids.append(data)
+        self.pieces.append(data)
 
 
 def parse(html):
@@ -349,8 +374,8 @@ def to_markdown(node, paragraphs_first=True):
     texts = [t for t in (p.text().strip() for p in found) if t]
     if not texts:
         return _wrap(node).strip(), False
-    for p in found:
-        p.up.kids = [k for k in p.up.kids if k is not p]
+    for up in {id(p.up): p.up for p in found}.values():
+        up.kids = [k for k in up.kids if isinstance(k, str) or k.tag != "p"]
     return "\n\n".join([*texts, *filter(None, [_wrap(node).strip()])]), True
 
 

@@ -106,12 +106,14 @@ def rebuild_index(t):
 # ---- written tables, read back
 
 
-@query(f"WITH {MANIFEST} SELECT pos, url, path, title, (SELECT count(*) FROM manifest) AS total FROM manifest")
+@query(f"WITH {MANIFEST} SELECT pos, url, path, title, (SELECT count(*) FROM manifest) AS total, true AS dated FROM manifest")
 def manifest_table(t):
     path = fresh_path(t.spark, "manifest")
     writers.write_manifest(V.manifest(t), path, SITE.base_url)
-    total = t.spark.read.schema("total_posts bigint").json(f"{path}/header").select("total_posts").scalar()
-    return readers.scan_manifest_rows(t.spark, path).withColumn("total", total)
+    header = t.spark.read.schema("total_posts bigint, extraction_date string").json(f"{path}/header")
+    dated = header.select(F.col("extraction_date").rlike(r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d$")).scalar()
+    rows = readers.scan_manifest_rows(t.spark, path)
+    return rows.withColumn("total", header.select("total_posts").scalar()).withColumn("dated", dated)
 
 
 @query(
@@ -145,6 +147,13 @@ def markdown_tables(t):
     )
 
 
+@query(f"WITH {POSTS} SELECT url, archive_path AS folder FROM posts")
+def archive_folders(t):
+    """Folder of a record from the place of its file."""
+    place = F.concat(F.lit("file:/store/site_archive/"), "archive_path", F.lit("/data.json"))
+    return V.posts(t).select("url", readers.archive_relative_dir(place, "/store/site_archive").alias("folder"))
+
+
 @query(f"WITH {POSTS} SELECT title, url, date, comments_count, archive_path, (SELECT count(*) FROM posts) AS total FROM posts")
 def master_index_table(t):
     path = fresh_path(t.spark, "master")
@@ -201,18 +210,28 @@ def stream_extract(t):
     """Two runs over the same folder; the second finds nothing new."""
     out, state = fresh_path(t.spark, "extract"), fresh_path(t.spark, "extract-state")
     for _ in range(2):
-        pages = S.read_page_stream(t.spark, t.folder, "pages.parquet")
+        pages = S.read_page_stream(t.spark, f"{t.folder}/pages.parquet")
         S.stream_extract(pages, out, state, extract=page_titles).awaitTermination()
     return t.spark.read.parquet(out).select("page_id", "url", "title", "h1", "status")
 
 
+@query(f"SELECT page_id, url, {TITLE} AS title, {H1} AS h1, 'ok' AS status FROM pages")
+def stream_extract_part_files(t):
+    """A table of several part files in which every page comes twice, read one file a batch: each URL gives one record."""
+    table, out, state = (fresh_path(t.spark, name) for name in ("page-parts", "extract", "extract-state"))
+    t.pages.unionByName(t.pages).repartition(4, F.rand(1)).write.parquet(table)
+    pages = S.read_page_stream(t.spark, table, files_per_batch=1)
+    S.stream_extract(pages, out, state, extract=page_titles).awaitTermination()
+    return t.spark.read.parquet(out).select("page_id", "url", "title", "h1", "status")
+
+
 @query(
     f"""WITH {LINKS} SELECT href AS url, page_id, pos FROM
     (SELECT *, row_number() OVER (PARTITION BY href ORDER BY page_id, pos) AS rn FROM links) WHERE rn = 1"""
 )
 def stream_dedupe(t):
     out, state = fresh_path(t.spark, "dedupe"), fresh_path(t.spark, "dedupe-state")
-    found = E.extract_links(S.read_page_stream(t.spark, t.folder, "pages.parquet"))
+    found = E.extract_links(S.read_page_stream(t.spark, f"{t.folder}/pages.parquet"))
     links = found.select(F.col("href").alias("url"), "page_id", F.col("pos").cast("bigint").alias("pos"))
     S.stream_dedupe(links, out, state).awaitTermination()
     return t.spark.read.parquet(out).select("url", "page_id", "pos")
@@ -221,7 +240,7 @@ def stream_dedupe(t):
 @query("SELECT CASE WHEN event_type = 'error' THEN 'error' ELSE 'ok' END AS status, count(*) AS n FROM events GROUP BY 1")
 def stream_progress(t):
     out, state = fresh_path(t.spark, "progress"), fresh_path(t.spark, "progress-state")
-    events = t.spark.readStream.schema(t.events.schema).option("pathGlobFilter", "events.parquet").parquet(t.folder)
+    events = S.read_page_stream(t.spark, f"{t.folder}/events.parquet", t.events.schema)
     status = F.when(F.col("event_type") == "error", "error").otherwise("ok")
     S.stream_progress(events.select(status.alias("status")), out, state).awaitTermination()
     return S.read_progress(t.spark, out)

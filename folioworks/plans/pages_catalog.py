@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from folioworks.functions import html as H
 from folioworks.functions import text as X
+from folioworks.functions.urls import relative_url
 from folioworks.operators import aggregates as A
 from folioworks.operators import extract as E
 from folioworks.operators import filters as P
@@ -27,8 +28,10 @@ VISIBLE = rf"regexp_replace({NOISE}, '(?is)<style\b[^>]*>.*?</style\s*>|<!--.*?-
 
 
 def unescaped(x: str) -> str:
-    for entity, char in X.ENTITIES.items():
-        x = f"regexp_replace({x}, '{entity}', '{char.replace(chr(39), chr(39) * 2)}', 'g')"
+    """The entities that the pages use; ``&amp;`` last, so that nothing is decoded twice."""
+    known = {"lt": 60, "gt": 62, "quot": 34, "#39": 39, "apos": 39, "nbsp": 160, "copy": 169, "middot": 183, "mdash": 8212, "amp": 38}
+    for name, code in known.items():
+        x = f"replace({x}, '&{name};', chr({code}))"
     return x
 
 
@@ -57,11 +60,16 @@ links AS (
   FROM links0)
 """
 
+# What ends an open paragraph, stated here on its own.
+P_STOP = (
+    r"(?is)<(/(p|td|li|div|main|body|html|article|section|blockquote)"
+    r"|(h[1-6]|hr|ul|ol|dl|pre|div|nav|form|table|footer|article|section|blockquote)\b).*$"
+)
 PARAS = rf"""
 paras AS (
   SELECT page_id, list_filter(list_transform(
     string_split_regex({VISIBLE}, '(?i)<p(?:\s[^>]*)?>')[2:],
-    lambda x: {stripped(unescaped(tagless("regexp_replace(x, '" + H.P_END + "', '')")))}), lambda x: x <> '') AS ps
+    lambda x: {stripped(unescaped(tagless("regexp_replace(x, '" + P_STOP + "', '')")))}), lambda x: x <> '') AS ps
   FROM pages)
 """
 
@@ -85,6 +93,35 @@ def page_links(t):
     return links(t).select("page_id", F.col("pos").cast("bigint").alias("pos"), "href", "title")
 
 
+@query(f"WITH {LINKS} SELECT page_id, pos, href, title FROM links")
+def page_links_any_quoting(t):
+    """Pages whose targets stand in double quotes, single quotes or none give the links of the pages as they are."""
+    ways = F.when(F.col("page_id") % 3 == 0, F.lit('HREF = "$1"')).when(F.col("page_id") % 3 == 1, "href='$1'").otherwise("href=$1")
+    quoted = t.pages.withColumn("html", F.regexp_replace("html", F.lit('href="([^"]*)"'), ways))
+    return E.extract_links(quoted).select("page_id", F.col("pos").cast("bigint").alias("pos"), "href", "title")
+
+
+@query(f"WITH {LINKS} SELECT page_id, pos, href FROM links")
+def nested_list_links(t):
+    """All links of a section's list, those in lists inside it too; the list after it is left out."""
+    items = F.transform(H.hrefs("html"), lambda h: F.concat(F.lit('<li><a href="'), h, F.lit('">x</a></li>')))
+    inner = F.array_join(F.slice(items, 2, 1 << 30), "</ul></li><li><ul>")
+    page = F.concat(
+        F.lit('<ul><li><a href="/before">x</a></ul><h3>Here</h3><div><ul>'), F.coalesce(F.get(items, F.lit(0)), F.lit("")),
+        F.lit("<li><UL class='in'>"), inner, F.lit('</ul></li></ul></div><ul><li><a href="/after">x</a></li></ul>'),
+    )
+    got = E.extract_links(t.pages.select("page_id", "url", page.alias("html")), "Here")
+    return got.select("page_id", F.col("pos").cast("bigint").alias("pos"), "href")
+
+
+@query(
+    f"""WITH {LINKS} SELECT page_id, pos, CASE WHEN regexp_matches(href, '^[a-zA-Z][a-zA-Z0-9+.-]*:') THEN href
+    ELSE '/base/' || ltrim(href, '/') END AS link FROM links"""
+)
+def page_links_behind_base(t):
+    return links(t).select("page_id", F.col("pos").cast("bigint").alias("pos"), relative_url("href", "/base/").alias("link"))
+
+
 @query(f"WITH {LINKS} SELECT page_id, pos, target FROM links")
 def page_links_resolved(t):
     return links(t).select("page_id", F.col("pos").cast("bigint").alias("pos"), "target")
@@ -209,7 +246,7 @@ def page_markdown(t):
     return html_to_markdown(body, "body").select("page_id", "markdown")
 
 
-SHOWN = tagless("regexp_replace(x, '" + H.P_END + "', '')")
+SHOWN = tagless("regexp_replace(x, '" + P_STOP + "', '')")
 BOLD = rf"""
 bold AS (
   SELECT page_id, list_filter(list_transform(

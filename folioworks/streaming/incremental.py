@@ -21,14 +21,11 @@ PAGE_SCHEMA = "page_id bigint, url string, html string"
 
 
 def read_page_stream(
-    spark: SparkSession, folder: str, glob: str = "*.parquet", schema: str = PAGE_SCHEMA, files_per_batch: int = 1000
+    spark: SparkSession, table: str, schema: str = PAGE_SCHEMA, files_per_batch: int = 1000
 ) -> DataFrame:
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", glob)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(folder)
-    )
+    """Pages of ``table``, a folder of part files or a single file, as they arrive."""
+    # A pattern and not a plain path, since a stream takes the latter for a folder.
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(f"{table.rstrip('/')}*")
 
 
 def _earlier(spark: SparkSession, out: str, batch: int, schema: str) -> DataFrame:
@@ -62,7 +59,8 @@ def stream_extract(
     """Read the new pages into post records under ``out``; a later run takes up where this one ended.
 
     Pages whose URL is in ``completed`` or in the output of an earlier batch are left out before the
-    costly parse. Results are partitioned by batch.
+    costly parse. Of a URL that comes several times the page with the least ``page_id`` is read, whether its repeats arrive in
+    one batch or, in that order, in several. Results are partitioned by batch.
     """
     spark = pages.sparkSession
     work = extract or (lambda df: extract_posts(df, selectors))
@@ -71,7 +69,10 @@ def stream_extract(
         todo = remaining(batch, _earlier(spark, out, number, "url string, status string, batch_id bigint").where("status = 'ok'"))
         if completed is not None:
             todo = remaining(todo, completed)
-        work(todo).write.mode("overwrite").parquet(f"{out}/batch_id={number}")
+        # Found on the two narrow columns; what is left after the parse are rows that repeat both.
+        first = todo.groupBy(F.col("url").alias("_url")).agg(F.min("page_id").alias("_page"))
+        wins = F.col("url").eqNullSafe(F.col("_url")) & F.col("page_id").eqNullSafe(F.col("_page"))
+        work(todo.join(first, wins, "left_semi")).dropDuplicates(["url"]).write.mode("overwrite").parquet(f"{out}/batch_id={number}")
 
     return _start(pages, each, checkpoint)
 

@@ -136,8 +136,39 @@ def test_escape_html(spark):
 def test_unescape_html_like_python(spark):
     import html
 
-    values = ["a &amp;lt; b", "cut&amp", "&lt;p&gt &quot;x&quot; &#39;y&apos;", "&copy;&middot;&nbsp;.", "no & entity"]
-    assert column(spark, values, X.unescape_html) == [html.unescape(v) for v in values]
+    values = ["a &amp;lt; b", "cut&amp", "&lt;p&gt &quot;x&quot; &#39;y&apos;", "&copy;&middot;&nbsp;.", "no & entity",
+              "a &mdash; b &hellip;&rsquo;&#8217;&#x2019;&copy2 &notit; &#128; &#0; &#xFFFFFFFFFFFF; &nosuch; &#; &", "", None]
+    assert column(spark, values, X.unescape_html) == [v and html.unescape(v) for v in values]
+
+
+def test_links_in_any_quoting(spark):
+    from folioworks.functions import html as H
+
+    page = (
+        """<a href='/a'>A</a><a class=x href=/b>B</a><a data-href="no" href="/c?x=1&copy=2&lt=3&amp;d=4">C</a>"""
+        "<a HREF = /d>D</a> src = prose <img src=i.png>"
+    )
+    want = ["/a", "/b", "/c?x=1&copy=2&lt=3&d=4", "/d"]
+    assert [a.href for a in column(spark, [page], H.anchors)[0]] == want
+    assert [(a.attr, a.raw) for a in column(spark, [page], H.link_attrs)[0]] == [*(("href", w) for w in want), ("src", "i.png")]
+
+
+def test_first_list_with_lists_inside(spark):
+    from folioworks.functions import html as H
+
+    pages = ["</ul>x<ul>1<ul>2</ul>3</ul>4<ul>5</ul>", "<UL class=a>1<ul>2", "none", "", None]
+    assert column(spark, pages, H.first_list) == ["<ul>1<ul>2</ul>3", "<UL class=a>1<ul>2", "", "", ""]
+
+
+def test_large_odd_pages_are_read_in_linear_time():
+    import time
+
+    from folioworks.operators.htmltree import parse, to_markdown
+
+    began = time.process_time()
+    parse("<div>" * 60_000)
+    to_markdown(parse("<p>x</p>" * 50_000))
+    assert time.process_time() - began < 10
 
 
 def test_paragraphs(spark):
