@@ -110,8 +110,9 @@ def post_file_path(url: Column | str, site: Site = Site(), out_dir: str = "_post
 
 
 def post_archive_path(url: Column | str, site: Site = Site()) -> Column:
-    """Directory of a post inside the archive; month and day keep the URL's spelling."""
-    return F.concat(F.lit("posts/"), strip_token(strip_token(url_path(url), site.section), ".html"))
+    """Directory of a post inside the archive; month and day keep the URL's spelling, dot segments are resolved."""
+    path = _drop_dot_segments(url_path(url))
+    return F.concat(F.lit("posts/"), strip_token(strip_token(path, site.section), ".html"))
 
 
 def base_name(path: Column | str) -> Column:

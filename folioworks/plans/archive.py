@@ -33,11 +33,13 @@ def build_manifest(pages: DataFrame, site: Site, section: str | None = None) ->
 
 @dataclass(frozen=True)
 class SiteArchive:
-    """What one run of the site flow gives: files, index entries of this run, and failures."""
+    """What one run of the site flow gives: files and failures of this run, index entries of the whole archive, and
+    ``(url, status)`` of every page read, to be appended to the completed URLs."""
 
     files: DataFrame
     entries: DataFrame
     failures: DataFrame
+    outcomes: DataFrame
 
 
 def site_archive(
@@ -48,21 +50,29 @@ def site_archive(
     default_author: str,
     selectors: Mapping = POST_SELECTORS,
     domains: tuple[str, str] | None = None,
+    earlier: DataFrame | None = None,
 ) -> SiteArchive:
     """Read the pages of the manifest that are not completed into linked Markdown files.
 
     Completed pages are left out before the parse. The records are written once to the shared folder,
-    since files, entries and failures all read them. Links resolve against the whole manifest.
+    since files, entries and failures all read them. Links resolve against the whole manifest. Of several pages with
+    one URL the one with the least ``page_id``, which is unique, is read. ``earlier`` holds the entries of former runs;
+    an entry of this run takes the place of an earlier one with its URL.
     """
     wanted = remaining(manifest.select("url").distinct(), completed)
     todo = pages.join(wanted, "url", "left_semi")
+    first = todo.groupBy("url").agg(F.min("page_id").alias("page_id"))
+    todo = todo.join(first, ["url", "page_id"], "left_semi")
     records = materialise(extract_posts(todo, selectors, domains).drop("raw_html"), "records")
     ok, failures = split_outcome(records)
     posts = ok.withColumn("file_path", post_file_path("url", site))
     paths = url_map(manifest.select("url"), file_path=post_file_path("url", site))
     text = R.render_site_markdown(posts, default_author).select("url", "file_path", "markdown")
     files = rewrite_markdown_links(text, paths, site, text="markdown")
-    return SiteArchive(files, R.index_entry(posts), failures)
+    entries = R.index_entry(posts)
+    if earlier is not None:
+        entries = entries.unionByName(earlier.join(entries.select("url"), "url", "left_anti"))
+    return SiteArchive(files, entries, failures, records.select("url", "status"))
 
 
 @dataclass(frozen=True)

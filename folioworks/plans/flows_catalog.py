@@ -53,6 +53,22 @@ def site_archive(t):
     return archive.site_archive(pages, V.manifest(t), V.completed(t), SITE, AUTHOR).files
 
 
+@query(f"WITH {LINKED}, {V.extracted_sql('content')} SELECT url, title, date, file_path, comments_count FROM extracted")
+def site_archive_runs(t):
+    """A run over half of the manifest, its successes appended, then a run over the rest: the index covers both.
+
+    Every page comes a second time, empty and with a later number, which gives no record.
+    """
+    done = fresh_path(t.spark, "completed")
+    manifest, pages = V.manifest(t), V.blog_pages(t)
+    again = pages.withColumns({"page_id": F.col("page_id") + 1_000_000_000_000, "html": F.lit("<html></html>")})
+    pages = pages.unionByName(again)
+    one = archive.site_archive(pages, manifest.where("pos % 2 = 0"), readers.scan_completed(t.spark, done), SITE, AUTHOR)
+    writers.append_completed(one.outcomes, done)
+    two = archive.site_archive(pages, manifest, readers.scan_completed(t.spark, done), SITE, AUTHOR, earlier=one.entries)
+    return two.entries.select("url", "title", "date", "file_path", "comments_count")
+
+
 def stored(t: Tables):
     """Linked posts as stored records with a page source."""
     return V.linked(t).drop("archive_path", "month").withColumn("raw_html", F.col("content"))
@@ -154,6 +170,31 @@ def archive_folders(t):
     return V.posts(t).select("url", readers.archive_relative_dir(place, "/store/site_archive").alias("folder"))
 
 
+@query(
+    f"""WITH {POSTS} SELECT archive_path, url, title, array_to_string(categories, '|') AS categories, comments_count,
+    len(comments)::BIGINT AS n_comments, md5(content) AS digest FROM posts"""
+)
+def post_files(t):
+    """One ``data.json`` per post, categories as objects, read back from the tree of files."""
+    root = fresh_path(t.spark, "post-files")
+    full = R.render_post_markdown(V.posts(t)).withColumn("raw_html", F.col("content"))
+    full = full.withColumn("categories", F.transform("categories", lambda c: F.struct(c.alias("name"))))
+    writers.export_archive(full, root)
+    good, _ = readers.scan_post_archive(t.spark, root)
+    return good.select(
+        "archive_path", "url", "title", F.array_join("categories", "|").alias("categories"), "comments_count",
+        F.size("comments").cast("bigint").alias("n_comments"), F.md5("content").alias("digest"),
+    )
+
+
+@query(f"WITH {POSTS} SELECT file_path, md5({SITE_TEXT}) AS digest FROM posts")
+def markdown_files(t):
+    """One Markdown file per post, read back from its folder."""
+    root = fresh_path(t.spark, "site-files")
+    writers.export_files(R.render_site_markdown(V.posts(t), AUTHOR), root)
+    return readers.scan_markdown_posts(t.spark, f"{root}/_posts").select("file_path", F.md5("text").alias("digest"))
+
+
 @query(f"WITH {POSTS} SELECT title, url, date, comments_count, archive_path, (SELECT count(*) FROM posts) AS total FROM posts")
 def master_index_table(t):
     path = fresh_path(t.spark, "master")

@@ -64,8 +64,16 @@ def archive_relative_dir(path: Column | str, root: str) -> Column:
     return F.regexp_replace(tail, r"/?[^/]*$", "")
 
 
+def category_name(c: Column) -> Column:
+    named = F.when(F.startswith(c, F.lit("{")), F.get_json_object(c, "$.name"))
+    return F.coalesce(named, c)
+
+
 def scan_post_archive(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
-    """(post records with ``archive_path``, unreadable files) of a tree of ``data.json`` files."""
+    """(post records with ``archive_path``, unreadable files) of a tree of ``data.json`` files.
+
+    A category may be a string or an object, of which the name counts; an object without one stays as its text.
+    """
     files = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="data.json").select(
         archive_relative_dir(F.col("_metadata.file_path"), root).alias("archive_path"), F.col("value").alias("source")
     )
@@ -74,7 +82,7 @@ def scan_post_archive(spark: SparkSession, root: str) -> tuple[DataFrame, DataFr
     good = F.col("_corrupt_record").isNull()
     posts = raw.where(good).drop("_corrupt_record", "source")
     posts = posts.withColumns({
-        "categories": F.coalesce("categories", F.array().cast("array<string>")),
+        "categories": F.transform(F.coalesce("categories", F.array().cast("array<string>")), category_name),
         "comments": F.coalesce("comments", F.array().cast(f"array<{COMMENT}>")),
         "comments_count": F.coalesce("comments_count", F.lit(0)).cast("bigint"),
         **{c: F.coalesce(c, F.lit("")) for c in ("url", "title", "author", "date", "content", "content_html", "raw_html")},

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import os
 import uuid
 
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -62,9 +62,9 @@ def write_site_markdown(rendered: DataFrame, path: str, mode: str = "append") ->
 
 
 def export_files(df: DataFrame, root: str, path: str = "file_path", text: str = "markdown", segment: str | None = None) -> None:
-    """One file per ``path`` below ``root``, which every executor must be able to write to.
+    """One file per ``path`` below ``root``, a shared folder or an address of a store that Arrow knows by its scheme.
 
-    A file is written under a private name and moved into place at its end, so a task that runs again
+    A path with a dot segment would leave ``root`` and ends the job. A file is written under a private name and moved into place at its end, so a task that runs again
     replaces it with the same text. With ``segment`` a file's rows are brought together, sorted and
     streamed out one by one; no file is held in memory.
     """
@@ -73,24 +73,27 @@ def export_files(df: DataFrame, root: str, path: str = "file_path", text: str =
         rows = rows.repartition(path).sortWithinPartitions(path, segment)
 
     def save(part) -> None:
+        store, top = pafs.FileSystem.from_uri(root) if ":/" in root else (pafs.LocalFileSystem(), root)
         out = None
         for row in part:
             if out is None or row[0] != out[0]:
-                _finish(out)
-                target = os.path.join(root, row[0])
-                os.makedirs(os.path.dirname(target), exist_ok=True)
+                _finish(store, out)
+                if {".", ".."} & set(row[0].split("/")):
+                    raise ValueError(f"path {row[0]!r} leaves the folder")
+                target = f"{top}/{row[0].lstrip('/')}"
+                store.create_dir(target.rsplit("/", 1)[0], recursive=True)
                 draft = f"{target}.{uuid.uuid4().hex}"
-                out = (row[0], target, draft, open(draft, "w", encoding="utf-8", newline=""))
-            out[3].write(row[1])
-        _finish(out)
+                out = (row[0], target, draft, store.open_output_stream(draft))
+            out[3].write(row[1].encode())
+        _finish(store, out)
 
     rows.foreachPartition(save)
 
 
-def _finish(out) -> None:
+def _finish(store: pafs.FileSystem, out) -> None:
     if out is not None:
         out[3].close()
-        os.replace(out[2], out[1])
+        store.move(out[2], out[1])
 
 
 def export_archive(posts: DataFrame, root: str, site: Site = Site()) -> None:
