@@ -29,13 +29,14 @@ from dataclasses import dataclass, field
 
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioworks.llm.common import parts
 from folioworks.session import materialise
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES, TEXT_ROWS = 4 << 20, 64
 DAMPING, THRESHOLD, MIN_PAGES = 0.9, 0.75, 8
 
 # Elements by the part they play in a page.
@@ -388,25 +389,32 @@ def style_tree(pages: DataFrame, damping: float = DAMPING, min_pages: int = MIN_
     return now.where(F.col("m") >= min_pages).select("key", F.round("imp", 9).alias("importance")), found
 
 
-def _texts(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
+def _identities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with the identity of their page, the source compressed for the way to its importances."""
+    pack = zstandard.ZstdCompressor(level=3).compress
+    names = ["host", "page", "page_id", "url", "packed"]
     for whole in batches:
         for batch in parts(whole, "html", SLICE_BYTES):
+            urls, sources = (batch.column(c).to_pylist() for c in ("url", "html"))
+            pairs = [_identity(host_of(u), s or "") for u, s in zip(urls, sources)]
+            both = [pa.array(c, pa.int64()) for c in zip(*pairs)] if pairs else [pa.array([], pa.int64())] * 2
+            packed = pa.array([pack((s or "").encode()) for s in sources], pa.binary())
+            yield pa.RecordBatch.from_arrays([*both, batch.column("page_id"), batch.column("url"), packed], names=names)
+
+
+def _texts(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
+    unpack = zstandard.ZstdDecompressor().decompress
+    for whole in batches:
+        for start in range(0, whole.num_rows, TEXT_ROWS):
+            batch = whole.slice(start, TEXT_ROWS)
             texts = []
-            for source, known in zip(batch.column("html").to_pylist(), batch.column("known").to_pylist()):
+            for source, known in zip(batch.column("packed"), batch.column("known").to_pylist()):
                 importance = {k["node"]: k["importance"] for k in known or ()}
-                texts.append("\n\n".join(blocks(parse(source or ""), importance, threshold)))
+                texts.append("\n\n".join(blocks(parse(unpack(source.as_buffer()).decode()), importance, threshold)))
             columns = [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "text", "n_chars"])
 
 
-def _identities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        urls, sources = (batch.column(c).to_pylist() for c in ("url", "html"))
-        pairs = [_identity(host_of(u), s or "") for u, s in zip(urls, sources)]
-        both = [pa.array(c, pa.int64()) for c in zip(*pairs)] if pairs else [pa.array([], pa.int64())] * 2
-        yield pa.RecordBatch.from_arrays([*both, *(batch.column(c) for c in ("page_id", "url", "html"))], names=["host", "page", "page_id", "url", "html"])
-
-
 def main_text(
     pages: DataFrame, threshold: float = THRESHOLD, damping: float = DAMPING, min_pages: int = MIN_PAGES,
     key: str = "page_id", url: str = "url", source: str = "html",
@@ -424,7 +432,8 @@ def main_text(
     known = known.groupBy("host", "page").agg(F.collect_list(F.struct("node", "importance")).alias("known"))
     known = materialise(known, "page-importances")
     id_type = rows.schema["page_id"].dataType.simpleString()
-    marked = rows.mapInArrow(_identities, f"host bigint, page bigint, page_id {id_type}, url string, html string")
-    joined = marked.join(known, ["host", "page"], "left").select("page_id", "url", "html", "known")
+    marked = rows.mapInArrow(_identities, f"host bigint, page bigint, page_id {id_type}, url string, packed binary")
+    # One form of join at every size; a page that very many rows repeat can be split.
+    joined = marked.join(known.hint("merge"), ["host", "page"], "left").select("page_id", "url", "packed", "known")
     result = joined.mapInArrow(lambda b: _texts(b, threshold), f"page_id {id_type}, url string, text string, n_chars bigint")
     return result.select(F.col("page_id").alias(key), F.col("url").alias(url), "text", "n_chars")
