@@ -121,7 +121,10 @@ def term_postings(posts: DataFrame, key: str = "url", text: str = "content") ->
 def find_posts(
     postings: DataFrame, posts: DataFrame, term: str, category: str | None = None, key: str = "url"
 ) -> DataFrame:
-    """Posts holding a term, optionally within one category, with the term's count."""
+    """Posts holding a term, optionally within one category, with the term's count.
+
+    ``postings`` is the whole index as rows or, better, what ``postings.scan_term`` reads of the stored one.
+    """
     rows = posts.where(F.array_contains("categories", category)) if category else posts
     return rows.join(postings.where(F.col("term") == term.lower()).select(key, "n"), key)
 

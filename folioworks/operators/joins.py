@@ -17,8 +17,18 @@ def remaining(manifest: DataFrame, completed: DataFrame, key: str = "url") -> Da
 
 
 def resolve_links(links: DataFrame, url_map: DataFrame, key: str = "url") -> DataFrame:
-    """Every link with the path of its target, null when the target is not in the map."""
-    return links.join(url_map, key, "left")
+    """Every link with the path of its target, null when the target is not in the map.
+
+    A key that the map holds several times counts once, with its least row.
+    """
+    return links.join(one_per_key(url_map, key), key, "left")
+
+
+def one_per_key(lookup: DataFrame, key: str = "url") -> DataFrame:
+    """The least row of each key. A lookup that is aggregated by the key already is not moved again."""
+    rest = [c for c in lookup.columns if c != key]
+    best = lookup.groupBy(key).agg(F.min(F.struct(*rest)).alias("_r"))
+    return best.select(*(F.col(c) if c == key else F.col(f"_r.{c}").alias(c) for c in lookup.columns))
 
 
 def with_post_data(url_map: DataFrame, posts: DataFrame, key: str = "archive_path") -> DataFrame:

@@ -10,14 +10,18 @@ from folioworks.functions.text import col_, regex_all, regex_first
 from folioworks.functions.urls import HAS_SCHEME, Site, normalise_url, relative_path, resolve_url, url_fragment, url_host
 from folioworks.operators.joins import resolve_links
 
-# What surrounds a link target in either syntax, and which characters end it.
-SYNTAX = {"markdown": (r"\]\(", "](", ")", r"[^)]*"), "html": ('href="', 'href="', '"', r'[^"]*')}
+# What stands before a link target in either syntax, which characters it may hold, and what stands behind it.
+# Attributes come in double quotes, single quotes or none; the space around the equals sign is bounded, as a look-behind must be.
+HREF = r"(?<![\w-])(?i:href)\s{0,9}=\s{0,9}"
+SYNTAX = {
+    "markdown": ((r"\]\(", r"[^)]*", r"\)"),),
+    "html": ((HREF + '"', r'[^"]*', '"'), (HREF + "'", r"[^']*", "'"), (HREF, r"""[^\s"'>]*""", r"[\s>]")),
+}
 
 
 def link_regex(site: Site, syntax: str) -> str:
-    """Pattern of an internal link; group 1 is the target."""
-    start, _, end, body = SYNTAX[syntax]
-    return f"{start}({site.link_pattern}{body}){chr(92)}{end}" if end == ")" else f"{start}({site.link_pattern}{body}){end}"
+    """Pattern of the target of an internal link, without what stands around it."""
+    return "|".join(f"(?<={start})(?:{site.link_pattern}{body})(?={end})" for start, body, end in SYNTAX[syntax])
 
 
 def rewrite_links(
@@ -33,24 +37,23 @@ def rewrite_links(
 ) -> DataFrame:
     """Internal links whose page is in ``url_map(url, target_path)`` become relative paths; others stay.
 
-    The new text replaces ``text``, or goes to the column ``into`` next to it.
+    The new text replaces ``text``, or goes to the column ``into`` next to it. Of several paths of one URL the least counts.
 
     Links of a document travel through the lookup with a key of their own row (``key``, path and a hash of the text) and
     come back to it in one left join: rows that share a key keep their own links, rows that are equal share them, and
     null keys stay. The list rebuilt per document is bounded by its own text. A fragment is kept behind the new path.
     """
     pattern = link_regex(site, syntax)
-    _, lead, end, _ = SYNTAX[syntax]
     # One struct as key: its equality treats nulls as equal.
     keyed = docs.withColumn("_row", F.struct(F.col(key).alias("key"), F.col(path).alias("path"), F.xxhash64(text).alias("text")))
     found = keyed.select(
-        "_row", F.col(path).alias("_here"), F.posexplode(regex_all(text, pattern, 1)).alias("_pos", "_raw")
+        "_row", F.col(path).alias("_here"), F.posexplode(regex_all(text, pattern, 0)).alias("_pos", "_raw")
     ).withColumn("_url", normalise_url("_raw", site))
     targets = url_map.select(F.col("url").alias("_url"), F.col(target_path).alias("_there"))
     new = F.concat(relative_path("_there", "_here"), url_fragment("_raw"))
     per_row = (
         resolve_links(found, targets, "_url")
-        .select("_row", "_pos", F.coalesce(new, "_raw").alias("_to"))
+        .select("_row", "_pos", F.coalesce(new, "_raw").alias("_to"))  # one target per place: equal rows repeat it
         .groupBy("_row")
         .agg(F.array_sort(F.collect_set(F.struct("_pos", "_to"))).alias("_links"))
     )
@@ -58,7 +61,7 @@ def rewrite_links(
     tail = F.zip_with(
         F.slice(parts, F.lit(2), F.size(parts) - 1),
         F.col("_links._to"),
-        lambda part, to: F.concat(F.lit(lead), to, F.lit(end), part),
+        lambda part, to: F.concat(to, part),
     )
     rebuilt = F.when(F.col("_links").isNull(), F.col(text)).otherwise(F.concat(parts[0], F.array_join(tail, "")))
     return keyed.join(per_row, "_row", "left").withColumn(into or text, rebuilt).drop("_row", "_links")

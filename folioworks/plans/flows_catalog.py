@@ -278,7 +278,39 @@ def stream_dedupe(t):
     return t.spark.read.parquet(out).select("url", "page_id", "pos")
 
 
-@query("SELECT CASE WHEN event_type = 'error' THEN 'error' ELSE 'ok' END AS status, count(*) AS n FROM events GROUP BY 1")
+@query(
+    f"""WITH {LINKS} SELECT href AS url, page_id, pos FROM
+    (SELECT *, row_number() OVER (PARTITION BY href ORDER BY page_id % 4, page_id, pos) AS rn FROM links) WHERE rn = 1"""
+)
+def stream_dedupe_runs(t):
+    """A folder that grows by a part before every run of the stream, beside a table of a similar name; the last run finds nothing new."""
+    table, out, state = (fresh_path(t.spark, name) for name in ("link-parts", "dedupe", "dedupe-state"))
+    found = E.extract_links(t.pages).select(F.col("href").alias("url"), "page_id", F.col("pos").cast("bigint").alias("pos"))
+    found.select("url", F.lit(-1).cast("bigint").alias("page_id"), "pos").write.parquet(f"{table}_old")
+    for part in (0, 1, 2, 3, None):
+        if part is not None:
+            found.where(F.col("page_id") % 4 == part).write.mode("append").parquet(table)
+        links = S.read_page_stream(t.spark, table, "url string, page_id bigint, pos bigint")
+        S.stream_dedupe(links, out, state).awaitTermination()
+    return t.spark.read.parquet(out).select("url", "page_id", "pos")
+
+
+EVENT_STATUS = "SELECT CASE WHEN event_type = 'error' THEN 'error' ELSE 'ok' END AS status, count(*) AS n FROM events GROUP BY 1"
+
+
+@query(EVENT_STATUS)
+def stream_totals(t):
+    """Running totals of a table that arrives in two parts, kept by an update-mode aggregate."""
+    table, out, state = (fresh_path(t.spark, name) for name in ("event-parts", "totals", "totals-state"))
+    status = F.when(F.col("event_type") == "error", "error").otherwise("ok").alias("status")
+    for part in (0, 1):
+        t.events.where(F.col("event_id") % 2 == part).write.mode("append").parquet(table)
+        events = S.read_page_stream(t.spark, table, t.events.schema)
+        S.stream_totals(events.select(status), out, state).awaitTermination()
+    return S.read_totals(t.spark, out)
+
+
+@query(EVENT_STATUS)
 def stream_progress(t):
     out, state = fresh_path(t.spark, "progress"), fresh_path(t.spark, "progress-state")
     events = S.read_page_stream(t.spark, f"{t.folder}/events.parquet", t.events.schema)

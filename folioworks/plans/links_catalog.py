@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from folioworks.functions.text import regex_first
 from folioworks.operators import aggregates as A
 from folioworks.operators import filters as P
 from folioworks.operators import joins as J
 from folioworks.operators import links as L
 from folioworks.operators import ordering as O
+from folioworks.operators import postings as N
 from folioworks.operators import qa as Q
 from folioworks.operators import windows as W
 from folioworks.plans import views as V
@@ -16,6 +18,7 @@ from folioworks.plans.posts_catalog import rel_sql
 from folioworks.plans.registry import query
 from folioworks.sources.readers import spread
 from folioworks.plans.views import LINKED, LOG, MANIFEST, POSTS, SITE
+from folioworks.session import fresh_path
 
 REPLACED = "CASE WHEN doc_id % 12 = 0 THEN link ELSE {} || frag END"
 LOOKED_UP = REPLACED.format("string_split(goal_file, '/')[2]")
@@ -94,6 +97,14 @@ def link_rewrite_md(t):
     return L.rewrite_markdown_links(V.linked(t), md_map(t), SITE).select("url", "content")
 
 
+@query(f"WITH {LINKED} SELECT url, {MD_TEXT.format(LOOKED_UP)} AS content FROM linked")
+def link_rewrite_repeats(t):
+    """A map that holds a second, later path for every other URL: the least path counts, and no link takes its neighbour's."""
+    paths = md_map(t)
+    again = paths.where(F.xxhash64("url") % 2 == 0).withColumn("file_path", F.concat(F.lit("zzz/"), "file_path"))
+    return L.rewrite_markdown_links(V.linked(t), again.unionByName(paths), SITE).select("url", "content")
+
+
 HTML_KEEP = "url, content, link, frag, doc_id"
 
 
@@ -108,6 +119,25 @@ def link_rewrite_html(t):
     return L.rewrite_html_links(docs, paths, SITE, path="here", target_path="there").select("url", "content")
 
 
+QUOTED = "<a title=x HREF = {0}%1$s{0}>see</a> <a data-href={0}/blog/x.html{0} href={0}http://other.example/blog/a.html{0}>out</a>"
+
+
+@query(
+    f"""WITH {LINKED}, {rel_sql("goal_archive || '/raw.html'", "archive_path || '/raw.html'", "linked", HTML_KEEP)}, q AS
+    (SELECT url, CASE doc_id % 3 WHEN 0 THEN chr(34) WHEN 1 THEN chr(39) ELSE '' END AS q, {REPLACED.format("rel")} AS new FROM rel)
+    SELECT url, '<a title=x HREF = ' || q || new || q || '>see</a> <a data-href=' || q || '/blog/x.html' || q || ' href=' || q
+    || 'http://other.example/blog/a.html' || q || '>out</a>' AS content FROM q"""
+)
+def link_rewrite_quoting(t):
+    """Attributes in double quotes, single quotes and none."""
+    page = F.concat("archive_path", F.lit("/raw.html"))
+    found = regex_first("content", r'<a href="([^"]*)">see</a>', 1)
+    double, single, bare = (F.format_string(QUOTED.format(mark), found) for mark in ('"', "'", ""))
+    content = F.when(F.col("doc_id") % 3 == 0, double).when(F.col("doc_id") % 3 == 1, single).otherwise(bare)
+    docs = V.linked(t, html=True).withColumns({"here": page, "content": content})
+    return L.rewrite_html_links(docs, J.url_map(V.posts(t), there=page), SITE, path="here", target_path="there").select("url", "content")
+
+
 def both_texts(t):
     return L.rewrite_markdown_links(V.linked(t), md_map(t), SITE, into="rewritten").select("url", "content", "rewritten")
 
@@ -217,7 +247,29 @@ def term_postings(t):
     return A.term_postings(spread(t.documents, "doc_id"), "doc_id", "text")
 
 
+def term_index(t):
+    path = fresh_path(t.spark, "term-index")
+    N.write_term_index(A.term_postings(spread(t.documents, "doc_id"), "doc_id", "text"), path, "doc_id", block=256)
+    return path
+
+
 @query(f"WITH {POSTS}, {POSTINGS} SELECT p.doc_id, p.url, n FROM posts p JOIN postings g ON g.doc_id = p.doc_id WHERE g.term = 'the' AND list_contains(categories, 'en')")
 def term_lookup(t):
-    postings = A.term_postings(spread(t.documents, "doc_id"), "doc_id", "text")
-    return A.find_posts(postings, V.posts(t), "The", "en", "doc_id").select("doc_id", "url", "n")
+    """One term's postings out of the written index, within a category."""
+    found = N.unpacked(N.scan_term(t.spark, term_index(t), "The"), "doc_id")
+    return A.find_posts(found, V.posts(t), "The", "en", "doc_id").select("doc_id", "url", "n")
+
+
+@query(f"WITH {POSTINGS} SELECT term, doc_id, n FROM postings WHERE term = 'and' ORDER BY n DESC, doc_id LIMIT 20")
+def term_top(t):
+    """The documents that hold a term most often, by way of the block maxima."""
+    return N.top_posts(N.scan_term(t.spark, term_index(t), "and"), 20, "doc_id")
+
+
+@query(f"""WITH {POSTINGS}, d AS (SELECT term, count(*) AS posts, sum(n) AS uses, max(n) AS max_n FROM postings GROUP BY 1)
+    SELECT term, posts, uses::BIGINT AS uses, max_n FROM d""")
+def term_index_totals(t):
+    """The whole index read back: documents, uses and highest count per term."""
+    blocks = t.spark.read.parquet(term_index(t))
+    uses = F.aggregate("counts", F.lit(0).cast("bigint"), lambda a, n: a + n)
+    return blocks.groupBy("term").agg(F.sum("posts").alias("posts"), F.sum(uses).alias("uses"), F.max("max_n").alias("max_n"))

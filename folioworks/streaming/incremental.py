@@ -1,7 +1,8 @@
 """Resume, duplicate detection and live progress as streams.
 
 Exactly-once rests on the checkpoint plus batch-numbered output folders: a batch that runs again after a
-failure overwrites its own folder and reads only the folders of earlier batches.
+failure overwrites its own folder. What earlier batches saw is kept by key in the state store, where a batch looks
+up its own keys only; ``stream_extract`` alone reads the folders of earlier batches.
 """
 
 from __future__ import annotations
@@ -15,17 +16,25 @@ from pyspark.sql.streaming import StreamingQuery
 
 from folioworks.operators.extract import POST_SELECTORS, extract_posts
 from folioworks.operators.joins import remaining
-from folioworks.operators.windows import first_seen
 
 PAGE_SCHEMA = "page_id bigint, url string, html string"
 
 
+# Keyed state lives in RocksDB, on the executors' disks and in the checkpoint, with one change log per batch.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
 def read_page_stream(
     spark: SparkSession, table: str, schema: str = PAGE_SCHEMA, files_per_batch: int = 1000
 ) -> DataFrame:
     """Pages of ``table``, a folder of part files or a single file, as they arrive."""
-    # A pattern and not a plain path, since a stream takes the latter for a folder.
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(f"{table.rstrip('/')}*")
+    # A stream takes a plain path for a folder; a pattern that only this name fits is right for both.
+    table = table.rstrip("/")
+    only = f"{table[:-1]}[{table[-1]}]" if table[-1].isalnum() else table
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(only)
 
 
 def _earlier(spark: SparkSession, out: str, batch: int, schema: str) -> DataFrame:
@@ -39,13 +48,27 @@ def _earlier(spark: SparkSession, out: str, batch: int, schema: str) -> DataFram
     return rows.where(F.col("batch_id") < batch)
 
 
-def _start(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
-    return (
-        stream.writeStream.foreachBatch(each)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+def _start(
+    stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append"
+) -> StreamingQuery:
+    conf = stream.sparkSession.conf
+    before = {key: conf.get(key, None) for key in STATE_CONF}
+    for key, value in STATE_CONF.items():
+        conf.set(key, value)
+    try:  # the query takes its own copy of the settings
+        return (
+            stream.writeStream.foreachBatch(each)
+            .outputMode(mode)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        for key, value in before.items():
+            if value is None:
+                conf.unset(key)
+            else:
+                conf.set(key, value)
 
 
 def stream_extract(
@@ -80,18 +103,27 @@ def stream_extract(
 def stream_dedupe(
     links: DataFrame, out: str, checkpoint: str, key: str = "url", order: tuple[str, ...] = ("page_id", "pos")
 ) -> StreamingQuery:
-    """Write each key once, first occurrence wins.
+    """Write each key once: the first batch that holds it wins, and in it the least row by ``order``.
 
-    A batch is reduced to one row per key on the map side before it is compared with what earlier
-    batches wrote, so a URL that fills a third of the stream does not pile up in one state partition.
+    A streaming aggregate keeps, by key, its first row and the times of the first and last batch that held it. A task combines
+    its rows of a key before they meet the state, so a URL that fills a third of the stream is one row per task there,
+    and a batch touches the state of its own keys only, however many came before. A key is new as long as all its rows
+    came in one batch: the batch time is part of the checkpoint, so a batch that runs again gives the same rows.
     """
-    spark = links.sparkSession
+    rest = [c for c in links.columns if c not in (key, *order)]
+    best = F.struct(F.col("_at"), *order, *rest)
+    state = (
+        links.withColumn("_at", F.current_timestamp())
+        .groupBy(key)
+        .agg(F.min(best).alias("_first"), F.max("_at").alias("_last"))
+        .where("_first._at = _last")
+        .select(*(F.col(c) if c == key else F.col(f"_first.{c}").alias(c) for c in links.columns))
+    )
 
     def each(batch: DataFrame, number: int) -> None:
-        seen = _earlier(spark, out, number, f"{key} string, batch_id bigint")
-        remaining(first_seen(batch, key, order), seen, key).write.mode("overwrite").parquet(f"{out}/batch_id={number}")
+        batch.write.mode("overwrite").parquet(f"{out}/batch_id={number}")
 
-    return _start(links, each, checkpoint)
+    return _start(state, each, checkpoint, "update")
 
 
 def dedupe_within_watermark(links: DataFrame, ts: str, delay: str, key: str = "url") -> DataFrame:
@@ -120,3 +152,17 @@ def read_progress(spark: SparkSession, out: str, status: str = "status") -> Data
 def live_progress(results: DataFrame, status: str = "status") -> DataFrame:
     """The same totals as a streaming aggregate for an update-mode sink."""
     return results.groupBy(status).agg(F.count(F.lit(1)).alias("n"))
+
+
+def stream_totals(results: DataFrame, out: str, checkpoint: str, status: str = "status") -> StreamingQuery:
+    """Running totals per status: each batch writes the totals it changed; :func:`read_totals` takes the last of each."""
+
+    def each(batch: DataFrame, number: int) -> None:
+        batch.coalesce(1).write.mode("overwrite").parquet(f"{out}/batch_id={number}")
+
+    return _start(live_progress(results, status), each, checkpoint, "update")
+
+
+def read_totals(spark: SparkSession, out: str, status: str = "status") -> DataFrame:
+    rows = spark.read.schema(f"{status} string, n bigint, batch_id bigint").option("basePath", out).parquet(out)
+    return rows.groupBy(status).agg(F.max_by("n", "batch_id").alias("n"))
