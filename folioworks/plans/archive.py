@@ -42,6 +42,20 @@ class SiteArchive:
     outcomes: DataFrame
 
 
+def wanted_pages(pages: DataFrame, manifest: DataFrame, completed: DataFrame) -> DataFrame:
+    """The page of each URL of the manifest that is not completed: the one with the least ``page_id``, which is unique, or without any.
+
+    Which pages these are is found on ``url`` and ``page_id`` alone; page sources go through one semi-join. Where pages, manifest and completed
+    URLs are tables bucketed by ``url`` alike (see ``write_bucketed``), that join and those before it move nothing.
+    """
+    urls = remaining(manifest.select("url").distinct(), completed)
+    first = pages.select("url", "page_id").join(urls, "url", "left_semi").groupBy("url").agg(F.min("page_id").alias("_page"))
+    first = first.withColumnRenamed("url", "_url")
+    # Written so that the URL is the only join key: a key of two columns would not fit the buckets.
+    other = F.coalesce(F.col("page_id").bitwiseXOR(F.col("_page")), F.when(F.col("_page").isNotNull(), 1).otherwise(0))
+    return pages.join(first, (F.col("url") == F.col("_url")) & (other == 0), "left_semi")
+
+
 def site_archive(
     pages: DataFrame,
     manifest: DataFrame,
@@ -56,14 +70,10 @@ def site_archive(
 
     Completed pages are left out before the parse. The records are written once to the shared folder,
     since files, entries and failures all read them. Links resolve against the whole manifest. Of several pages with
-    one URL the one with the least ``page_id``, which is unique, is read. ``earlier`` holds the entries of former runs;
+    one URL the one that :func:`wanted_pages` takes is read. ``earlier`` holds the entries of former runs;
     an entry of this run takes the place of an earlier one with its URL.
     """
-    wanted = remaining(manifest.select("url").distinct(), completed)
-    todo = pages.join(wanted, "url", "left_semi")
-    first = todo.groupBy("url").agg(F.min("page_id").alias("page_id"))
-    todo = todo.join(first, ["url", "page_id"], "left_semi")
-    records = materialise(extract_posts(todo, selectors, domains).drop("raw_html"), "records")
+    records = materialise(extract_posts(wanted_pages(pages, manifest, completed), selectors, domains).drop("raw_html"), "records")
     ok, failures = split_outcome(records)
     posts = ok.withColumn("file_path", post_file_path("url", site))
     paths = url_map(manifest.select("url"), file_path=post_file_path("url", site))

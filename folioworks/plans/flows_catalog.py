@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from contextlib import contextmanager
+
 from pyspark.sql import functions as F
 
 from folioworks.functions import text as X
@@ -53,6 +56,29 @@ def site_archive(t):
     return archive.site_archive(pages, V.manifest(t), V.completed(t), SITE, AUTHOR).files
 
 
+@contextmanager
+def bucketed(spark, **tables):
+    """Tables of the session that are bucketed by ``url`` alike, for as long as the block lasts; their files stay."""
+    names = {key: f"{key}_{uuid.uuid4().hex[:12]}" for key in tables}
+    for key, df in tables.items():
+        writers.write_bucketed(df, names[key], fresh_path(spark, key), buckets=BUCKETS)
+    try:
+        yield {key: spark.table(name) for key, name in names.items()}
+    finally:
+        for name in names.values():
+            spark.sql(f"DROP TABLE {name}")
+
+
+BUCKETS = 32
+
+
+@query(f"WITH {LINKED}, {V.extracted_sql(DONE_LINES)} SELECT url, file_path, {SITE_TEXT} AS markdown FROM extracted WHERE doc_id % 3 <> 0")
+def site_archive_bucketed(t):
+    """The same flow over bucketed tables: no page source moves before it is read into a record."""
+    with bucketed(t.spark, pages=V.blog_pages(t, V.linked(t)), manifest=V.manifest(t), completed=V.completed(t)) as b:
+        return archive.site_archive(b["pages"], b["manifest"], b["completed"], SITE, AUTHOR).files
+
+
 @query(f"WITH {LINKED}, {V.extracted_sql('content')} SELECT url, title, date, file_path, comments_count FROM extracted")
 def site_archive_runs(t):
     """A run over half of the manifest, its successes appended, then a run over the rest: the index covers both.
@@ -235,6 +261,17 @@ def rewritten_table(t):
     return t.spark.read.parquet(path).select("url", F.md5("content").alias("digest"))
 
 
+@query(f"WITH {LINKED} SELECT url, month, md5({DONE_LINES}) AS digest FROM linked")
+def rewritten_archive(t):
+    """The stored archive after its links were rewritten in place, all of it read back."""
+    path = fresh_path(t.spark, "posts")
+    linked = V.linked(t)
+    writers.write_posts(linked.withColumnRenamed("month", "label"), path)
+    pairs = L.rewrite_markdown_links(linked, md_map(t), SITE, into="rewritten")
+    writers.update_archive(pairs.select("url", "content", "rewritten"), path)
+    return readers.scan_posts(t.spark, path).select("url", F.col("label").alias("month"), F.md5("content").alias("digest"))
+
+
 # ---- streams
 
 

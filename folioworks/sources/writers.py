@@ -14,6 +14,7 @@ from folioworks.operators.aggregates import count_posts
 from folioworks.operators.filters import changed, drop_blank
 from folioworks.operators.ordering import newest_first
 from folioworks.operators.render import master_entry
+from folioworks.session import materialise
 
 
 def write_manifest(df: DataFrame, path: str, source_url: str) -> None:
@@ -134,3 +135,26 @@ def write_rewritten_links(pairs: DataFrame, path: str, before: str = "content",
     ``pairs`` carries both texts in one row, as ``rewrite_links(..., into=...)`` gives them.
     """
     changed(pairs, before, after).drop(before).withColumnRenamed(after, before).write.mode("overwrite").parquet(path)
+
+
+def update_archive(pairs: DataFrame, path: str, before: str = "content", after: str = "rewritten", key: str = "url") -> None:
+    """Put the changed texts of ``pairs`` into the archive that :func:`write_posts` wrote to ``path``.
+
+    Only the month partitions that hold a changed document are written again, with their other rows as they were; the files of all other
+    partitions stay. A row is changed when key and text are those of ``pairs``; rows that repeat both change alike. The new partitions are
+    written to the shared folder first, so that no file is read after it was replaced.
+    """
+    spark = pairs.sparkSession
+    month = ["year", "month"]
+    found = changed(pairs, before, after).select(F.col(key).alias("_key"), F.col(before).alias("_old"), F.col(after).alias("_new"))
+    new = found.groupBy("_key", F.xxhash64("_old").alias("_hash")).agg(F.min("_new").alias("_new"))
+    new = materialise(new.where("_key IS NOT NULL"), "new-texts")
+    archive = spark.read.parquet(path)
+    keyed = archive.withColumns({"_key": F.col(key), "_hash": F.xxhash64(before)})
+    # Months are found on narrow columns; there are few, and a partition filter made of them prunes the read.
+    months = keyed.select("_key", "_hash", *month).join(new.select("_key", "_hash"), ["_key", "_hash"], "left_semi").select(*month).distinct()
+    months = materialise(months, "changed-months")
+    rows = keyed.join(months, month, "left_semi").join(new, ["_key", "_hash"], "left")
+    rows = rows.withColumn(before, F.coalesce("_new", before)).select(*archive.columns)
+    rows = materialise(rows, "changed-partitions").hint("rebalance", *month)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*month).parquet(path)

@@ -290,3 +290,114 @@ def test_stream_progress_adds_up(spark, tmp_path):
         stream = S.read_page_stream(spark, pages).selectExpr("if(page_id % 4 = 0, 'failed', 'ok') AS status")
         S.stream_progress(stream, out, state).awaitTermination()
     assert {r.status: r.n for r in S.read_progress(spark, out).collect()} == {"failed": 5, "ok": 15}
+
+
+def test_stream_reads_its_own_table_only(spark, tmp_path):
+    write_pages(spark, str(tmp_path / "pages"), range(3))
+    write_pages(spark, str(tmp_path / "pages_old"), range(50, 60))
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    S.stream_extract(S.read_page_stream(spark, str(tmp_path / "pages")), out, state).awaitTermination()
+    assert sorted(r.page_id for r in spark.read.parquet(out).collect()) == [0, 1, 2]
+
+
+def test_stream_dedupe_keeps_its_state_by_key(spark, tmp_path):
+    table, out, state = (str(tmp_path / n) for n in ("links", "out", "state"))
+
+    def run():
+        links = S.read_page_stream(spark, table, "url string, page_id bigint, pos bigint", files_per_batch=1)
+        query = S.stream_dedupe(links, out, state)
+        query.awaitTermination()
+        return query
+
+    want = {}
+    for part in range(25):
+        rows = [(None if i % 11 == 0 else f"u{(i * 7 + part) % 60}", part * 100 + 50 - i, i) for i in range(40)]
+        for url, page, pos in sorted(rows, key=lambda r: r[1:]):
+            want.setdefault(url, (page, pos))
+        spark.createDataFrame(rows, "url string, page_id bigint, pos bigint").coalesce(1).write.mode("append").parquet(table)
+    query = run()
+    batches = [p for p in query.recentProgress if p.numInputRows]
+    assert len(batches) == 25
+    # The plan of a batch holds its own file and the state, whatever was written before.
+    assert all(len(p.sources) == 1 and p.numInputRows == 40 for p in batches)
+    assert max(p.stateOperators[0].numRowsUpdated for p in batches) <= 38
+    assert "RocksDB" in "".join(batches[-1].stateOperators[0].customMetrics) or batches[-1].stateOperators[0].customMetrics.keys() & {"rocksdbPutCount"}
+
+    def got():
+        rows = spark.read.parquet(out).collect()
+        assert len(rows) == len(want)
+        return {r.url: (r.page_id, r.pos) for r in rows}
+
+    assert got() == want
+    run()
+    assert got() == want
+    # The last batch again, as after a failure between its output and its commit.
+    last = max(int(p.name) for p in (tmp_path / "state" / "commits").iterdir() if p.name.isdigit())
+    for name in (str(last), f".{last}.crc"):
+        (tmp_path / "state" / "commits" / name).unlink(missing_ok=True)
+    run()
+    assert got() == want
+
+
+def test_stored_index_reads_one_folder(spark, tmp_path):
+    from folioworks.operators import postings as N
+    from folioworks.operators.aggregates import term_postings
+
+    texts = [(f"k{i:03}", "the " * (i % 9 + 1) + f"word{i % 40}") for i in range(300)]
+    rows = term_postings(spark.createDataFrame(texts, "url string, content string"))
+    path = str(tmp_path / "index")
+    N.write_term_index(rows, path, block=16, buckets=8)
+    blocks = N.scan_term(spark, path, "The", buckets=8)
+    plan = blocks._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan and "PushedFilters: [IsNotNull(term), EqualTo(term,the)]" in plan
+    assert {r[0] for r in blocks.selectExpr("array_sort(keys) = keys AND array_max(counts) = max_n AND size(keys) = posts").collect()} == {True}
+    assert sorted(map(tuple, N.unpacked(blocks).select("url", "n").collect())) == [(u, t.count("the")) for u, t in texts]
+    want = sorted(((u, t.count("the")) for u, t in texts), key=lambda r: (-r[1], r[0]))
+    for k in (1, 20, 1000):
+        assert [(r.url, r.n) for r in N.top_posts(blocks, k).collect()] == want[:k]
+    assert N.unpacked(N.scan_term(spark, path, "absent", buckets=8)).collect() == []
+
+
+def test_archive_update_leaves_other_months_alone(spark, tmp_path):
+    path = tmp_path / "posts"
+    rows = [(f"http://x.example/blog/2020/{m}/1/p{i}.html", f"text {m} {i}", "t") for m in (1, 2, 3) for i in range(4)]
+    rows += [("http://x.example/blog/misc.html", "undated", "t"), rows[0]]
+    posts = spark.createDataFrame(rows, "url string, content string, title string")
+    writers.write_posts(posts, str(path))
+    files = lambda: {str(p.relative_to(path)): p.stat().st_mtime_ns for p in path.rglob("*.parquet")}
+    before = files()
+    pairs = posts.selectExpr("url", "content", "if(url LIKE '%/2/1/p1.html' OR url LIKE '%/1/1/p0.html', upper(content), content) AS rewritten")
+    writers.update_archive(pairs, str(path))
+    after = files()
+    kept = {k: v for k, v in before.items() if "month=3" in k or "month=0" in k}
+    assert kept and kept.items() <= after.items() and not {k for k in before if "month=1" in k or "month=2" in k} & after.keys()
+    got = sorted((r.url, r.content, r.title) for r in readers.scan_posts(spark, str(path)).collect())
+    assert got == sorted((u, c.upper() if "/2/1/p1" in u or "/1/1/p0" in u else c, t) for u, c, t in rows)
+    writers.update_archive(pairs.where("false"), str(path))
+    assert files() == after
+
+
+def test_wanted_pages_moves_no_source_between_buckets(spark, tmp_path):
+    from folioworks.plans.archive import wanted_pages
+
+    pages = [(i, f"u{i % 20}", f"<p>{i}") for i in range(60)] + [(None, "n1", "<p>null"), (None, "u3", "<p>null"), (5, None, "<p>")]
+    tables = {
+        "w_pages": spark.createDataFrame(pages, "page_id bigint, url string, html string"),
+        "w_manifest": spark.createDataFrame([(f"u{i}",) for i in range(15)] + [("n1",), (None,)], "url string"),
+        "w_done": spark.createDataFrame([("u1",), ("u2",)], "url string"),
+    }
+    want = sorted([(i, f"u{i}") for i in range(15) if i not in (1, 2)] + [(-1, "n1")])
+    rows = wanted_pages(*tables.values()).collect()
+    assert sorted((-1 if r.page_id is None else r.page_id, r.url) for r in rows) == want
+    for name, df in tables.items():
+        writers.write_bucketed(df, name, str(tmp_path / name), buckets=4)
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = wanted_pages(*(spark.table(name) for name in tables))
+        assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+        assert sorted((-1 if r.page_id is None else r.page_id, r.url) for r in found.collect()) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+        for name in tables:
+            spark.sql(f"DROP TABLE {name}")
