@@ -58,6 +58,14 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` as Spark reads it, for code that opens files itself: one without a scheme lies in the default file system of the
+    cluster. A local path comes back without its scheme."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    full = where.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(where).toString()
+    return "/" + full[len("file:") :].lstrip("/") if full.startswith("file:") else full
+
+
 @contextmanager
 def shuffles_freed(spark: SparkSession):
     """Writes inside this block drop their shuffle files when they end; the caller's setting comes back after it."""

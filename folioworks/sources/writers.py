@@ -14,7 +14,7 @@ from folioworks.operators.aggregates import count_posts
 from folioworks.operators.filters import changed, drop_blank
 from folioworks.operators.ordering import newest_first
 from folioworks.operators.render import master_entry
-from folioworks.session import materialise
+from folioworks.session import materialise, qualified
 
 
 def write_manifest(df: DataFrame, path: str, source_url: str) -> None:
@@ -63,12 +63,13 @@ def write_site_markdown(rendered: DataFrame, path: str, mode: str = "append") ->
 
 
 def export_files(df: DataFrame, root: str, path: str = "file_path", text: str = "markdown", segment: str | None = None) -> None:
-    """One file per ``path`` below ``root``, a shared folder or an address of a store that Arrow knows by its scheme.
+    """One file per ``path`` below ``root``, a shared folder in the default file system or an address of a store that Arrow knows.
 
     A path with a dot segment would leave ``root`` and ends the job. A file is written under a private name and moved into place at its end, so a task that runs again
     replaces it with the same text. With ``segment`` a file's rows are brought together, sorted and
     streamed out one by one; no file is held in memory.
     """
+    root = qualified(df.sparkSession, root)
     rows = df.select(path, text, *([segment] if segment else []))
     if segment:
         rows = rows.repartition(path).sortWithinPartitions(path, segment)
