@@ -99,7 +99,8 @@ def plan(
         mixed, ["source"], ["at", "key", "tie"], F.shiftright("at", 64 - RANGE_BITS),
         sums={"upto": F.col("n_tokens") * F.col("times")}, position="place",
     )
-    copies = F.col("full") + F.when(F.col("upto") <= F.col("rest"), 1).otherwise(0)
+    # Nothing left to take is no block: a source without tokens has weight 0 and gives no rows.
+    copies = F.col("full") + F.when((F.col("rest") > 0) & (F.col("upto") <= F.col("rest")), 1).otherwise(0)
     return scanned.select("key", "tie", "source", "n_tokens", "times", "weight", copies.alias("copies"))
 
 
@@ -113,7 +114,11 @@ def blocks(planned: DataFrame, seed: int = 5, key: str = "doc_id") -> DataFrame:
 
 
 def mix(documents: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of ``documents``, all columns, as often as the mix takes them. An empty table gives an empty mix."""
+    """The rows of ``documents``, all columns, as often as the mix takes them.
+
+    Rows that repeat are taken alike, a null key or source is one like any other, a source of texts without words has weight
+    0 and gives no rows. An empty table gives an empty mix.
+    """
     planned = plan(documents, key=key, text=text, **options).where("copies > 0").select("key", "tie", F.col("source").alias("of"), "copies")
     names = documents.columns
     inner = documents.select(*(documents[c].alias(f"c{i}") for i, c in enumerate(names)))

@@ -106,13 +106,16 @@ def fit(
     rows: int = FIT_ROWS, steps: int = 120, ridge: float = 1.0, least_texts: int = 4,
 ) -> OrdinalModel:
     """Fit on at most ``rows`` rated texts, the ones whose key has the least hash (a documented bound: features of these
-    rows come to the driver, about a kilobyte each). Features of fewer than ``least_texts`` texts get no weight.
+    rows come to the driver, about a kilobyte each). Of several texts under one key the one with the least hash is taken.
+    Features of fewer than ``least_texts`` texts get no weight.
 
     Without any rated text the model is neutral: every text gets the same probabilities, the top grade one half.
     """
     chosen = ratings.select(F.col(key).alias("_key"), "grade").orderBy(F.xxhash64("_key"), "_key").limit(rows)
     texts = documents.select(documents[key].alias("_key"), documents[text].alias("_text"))
-    rated = texts.join(F.broadcast(chosen), "_key").select("_text", "grade")
+    rated = texts.join(F.broadcast(chosen), "_key").groupBy("_key").agg(
+        F.min(F.struct(F.xxhash64("_text").alias("hash"), "_text", "grade")).alias("r")
+    ).select("r._text", "r.grade")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = WordCodes()
@@ -122,7 +125,7 @@ def fit(
                 lists = [x.tobytes() for x in np.split(found, ends[:-1])]
                 yield pa.record_batch({"grade": piece.column("grade"), "found": pa.array(lists, pa.binary())})
 
-    got = rated.mapInArrow(run, "grade int, found binary").limit(rows).toArrow()
+    got = rated.mapInArrow(run, "grade int, found binary").toArrow()
     order = np.lexsort([[hash_of(f) for f in got["found"].to_pylist()]]) if got.num_rows else np.empty(0, int)
     got = got.take(pa.array(order))
     lists = [np.frombuffer(f, np.int32) for f in got["found"].to_pylist()]
@@ -194,7 +197,8 @@ def score(documents: DataFrame, model: OrdinalModel, text: str = "text", name: s
 
 
 def accepted(rating: Column, least: float = 0.5) -> Column:
-    return rating["top_probability"] >= least
+    """At least the probability, to six digits: one that misses it by the rounding of the fit is a tie, and accepted."""
+    return F.round(rating["top_probability"], 6) >= least
 
 
 def classify(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", least: float = 0.5) -> DataFrame:
@@ -209,7 +213,8 @@ def classify(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text:
 
 
 def keep_accepted(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", least: float = 0.5) -> DataFrame:
-    """The rows of ``documents`` that the classifier accepts, all their columns."""
+    """The rows of ``documents`` that the classifier accepts, all their columns. Nulls, empty texts, repeated rows and empty
+    tables: as in :func:`classify`; without any label every row is accepted."""
     model = fit(documents, graded(labels), key=key, text=text)
     names = documents.columns
     inner = documents.select(*(documents[c].alias(f"c{i}") for i, c in enumerate(names)))

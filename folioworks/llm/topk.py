@@ -21,6 +21,8 @@ BLOCK_ROWS = 1024
 # Cosine threshold from which the coordinate bound prunes more than it costs.
 COORDINATE_FROM = 0.6
 SLACK = 1e-9
+# Length of an integer vector up to which all products are whole numbers of 64 bits.
+LONGEST = float(2**31)
 RESULT = "query_id bigint, vec_id bigint, score bigint"
 
 
@@ -29,10 +31,12 @@ def quantised(vectors: DataFrame, scale: int = 256) -> DataFrame:
     value = F.col("embedding")
     sound = F.forall(value, lambda c: c.isNotNull() & ~F.isnan(c.cast("double")) & (F.abs(c.cast("double")) < F.lit(float("inf"))))
     rows = vectors.select(vectors["vec_id"].alias("id"), vectors["embedding"].alias("embedding"))
-    rows = rows.where("id is not null and embedding is not null").where(sound)
+    # Products of longer vectors would not fit the score's type.
+    small = F.forall(value, lambda c: F.abs(c.cast("double") * scale) < LONGEST)
+    rows = rows.where("id is not null and embedding is not null").where(sound).where(small)
     rows = rows.select("id", F.transform(value, lambda c: F.floor(c.cast("double") * scale)).alias("x")).distinct()
     square = F.aggregate("x", F.lit(0.0), lambda a, c: a + c.cast("double") * c.cast("double"))
-    return rows.select("id", "x", F.size("x").alias("dim"), F.sqrt(square).alias("norm"))
+    return rows.select("id", "x", F.size("x").alias("dim"), F.sqrt(square).alias("norm")).where(F.col("norm") < LONGEST)
 
 
 def products(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -87,7 +91,8 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, bucket_rows: int = BU
     """``query_id, rank, vec_id, score``: for every row whose id is divisible by ``every``, the ``k`` highest integer inner
     products with other rows, ties to the smaller id.
 
-    Vectors that are null or hold a null or non-finite component, and rows without an id, take no part; vectors are
+    Vectors that are null or hold a null or non-finite component, and rows without an id, take no part, nor do vectors whose
+    integer form is ``LONGEST`` or longer, as their products have no 64-bit value. An empty table gives no rows. Vectors are
     compared with those of their own length only. Rows that repeat id and vector are one; different vectors under
     one id are scored each, and the id keeps its best. Other columns are not read. Queries meet the buckets in blocks, as
     numbered pairs; a bucket is read once for each block that it can still serve.
