@@ -19,17 +19,9 @@ from pyspark.sql import DataFrame
 from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
 from folioworks.llm.common import kept_in_process, parts
-from folioworks.llm.token_cache import PieceCache, encode_column, gather, piece_encoder
+from folioworks.llm.token_cache import PieceCache, byte_characters, encode_column, gather, in_bytes, piece_encoder
 
-SLICE_BYTES = 6 << 20
-
-
-def byte_characters() -> list[str]:
-    """The character that stands for each byte: itself where it is printable, else one from U+0100 on."""
-    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    others = (b for b in range(256) if b not in printable)
-    table = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
-    return [table[b] for b in range(256)]
+SLICE_BYTES = 2 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -70,8 +62,8 @@ class Codec:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         tokenizer = build_tokenizer(ranks, pattern)
-        signs = byte_characters()
-        self.cache = PieceCache(piece_encoder(tokenizer, lambda piece: piece.replace(" ", signs[32])))
+        letters = in_bytes()
+        self.cache = PieceCache(piece_encoder(tokenizer, lambda piece: piece.translate(letters)))
         table = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             table[rank] = token
@@ -108,6 +100,20 @@ def _columns(kind: str, n_ids: int, ids: np.ndarray, data: np.ndarray, ends: np.
     }
 
 
+def _encoded(codec: Codec, piece: pa.RecordBatch, key: str, output: str) -> list[pa.RecordBatch]:
+    ids, ends = codec.encode(piece.column("_text"))
+    data, byte_ends = codec.decode(ids)
+    at, rows = 0, []
+    for end in ends:
+        low, high = (byte_ends[at - 1] if at else 0), (byte_ends[end - 1] if end else 0)
+        rows.append(_columns(output, int(end - at), ids[at:end], data[low:high], byte_ends[at:end] - low))
+        at = int(end)
+    if not rows:
+        return []
+    made = pa.Table.from_pylist(rows)
+    return pa.table({key: pa.chunked_array([piece.column("_key")]), **{c: made[c] for c in made.column_names}}).to_batches()
+
+
 OUTPUTS = {
     "tokens": "ids array<int>, starts array<int>, decoded string",
     "digest": "n_tokens bigint, ids_sha256 string, decoded_sha256 string",
@@ -128,21 +134,10 @@ def encode_decode(
     regex.compile(pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = kept_in_process(label, lambda: Codec(ranks, pattern))
-        for batch in batches:
-            for piece in parts(batch, "_text", SLICE_BYTES):
-                ids, ends = codec.encode(piece.column("_text"))
-                data, byte_ends = codec.decode(ids)
-                at, rows = 0, []
-                for end in ends:
-                    low, high = (byte_ends[at - 1] if at else 0), (byte_ends[end - 1] if end else 0)
-                    rows.append(_columns(output, int(end - at), ids[at:end], data[low:high], byte_ends[at:end] - low))
-                    at = int(end)
-                made = pa.Table.from_pylist(rows) if rows else None
-                if made is not None:
-                    yield from pa.table(
-                        {key: pa.chunked_array([piece.column("_key")]), **{c: made[c] for c in made.column_names}}
-                    ).to_batches()
+        with kept_in_process(label, lambda: Codec(ranks, pattern)) as codec:
+            for batch in batches:
+                for piece in parts(batch, "_text", SLICE_BYTES):
+                    yield from _encoded(codec, piece, key, output)
 
     source = documents.select(documents[key].alias("_key"), documents[text].alias("_text"))
     kind = documents.schema[key].dataType.simpleString()

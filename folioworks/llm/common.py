@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
+import threading
 import types
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager, suppress
 from typing import Any
 
 import numpy as np
@@ -22,12 +26,44 @@ def words_of(text: Column | str) -> Column:
     return F.filter(F.split(F.coalesce(column, F.lit("")), WORD_GAP), lambda w: w != "")
 
 
-def kept_in_process(name: str, make: Callable[[], Any]) -> Any:
-    """A value that lives as long as the Python worker, so that tasks of one worker share it."""
+IDLE_SECONDS = 5.0
+
+
+def trim() -> None:
+    """Give freed memory back to the system, where its C library can."""
+    gc.collect()
+    with suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+@contextmanager
+def kept_in_process(name: str, make: Callable[[], Any], idle: float = IDLE_SECONDS) -> Iterator[Any]:
+    """A value that tasks of one Python worker share; when none has used it for ``idle`` seconds, it goes."""
     store = sys.modules.setdefault("_folioworks_process_state", types.ModuleType("_folioworks_process_state"))
-    if not hasattr(store, name):
-        setattr(store, name, make())
-    return getattr(store, name)
+    lock = vars(store).setdefault("lock", threading.RLock())
+    with lock:
+        if not hasattr(store, name):
+            setattr(store, name, {"value": make(), "users": 0, "turn": 0})
+        entry = getattr(store, name)
+        entry["users"] += 1
+        entry["turn"] += 1
+
+    def drop(turn: int) -> None:
+        with lock:
+            if getattr(store, name, None) is entry and not entry["users"] and entry["turn"] == turn:
+                delattr(store, name)
+                entry.clear()
+        trim()
+
+    try:
+        yield entry["value"]
+    finally:
+        with lock:
+            entry["users"] -= 1
+            if not entry["users"]:
+                timer = threading.Timer(idle, drop, [entry["turn"]])
+                timer.daemon = True
+                timer.start()
 
 
 def as_bytes(column: pa.Array) -> list[bytes | None]:

@@ -19,6 +19,7 @@ the key in its slot.
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 import zlib
@@ -35,12 +36,12 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from tokenizers import Tokenizer
 
 from folioworks.llm.common import kept_in_process, parts
-from folioworks.llm.token_cache import PieceCache, encode_column, piece_encoder
-from folioworks.session import materialise
+from folioworks.llm.token_cache import PieceCache, encode_column, whole_encoder, word_encoder
+from folioworks.session import materialise, qualified
 
 MAGIC = b"FWTOKS01"
 FOOTER = 64
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 4 << 20
 BITS_PER_KEY = 2
 PRINT_SALT = 65_535
 MANIFEST = "file string, shard bigint, n_docs bigint, n_tokens bigint, low bigint, high bigint"
@@ -97,12 +98,10 @@ class Encoder:
     def __init__(self, tokenizer_json: str, end_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         tokenizer = Tokenizer.from_str(tokenizer_json)
-        tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
-        self.end_id, self.lower = end_id, '{"type":"Lowercase"}' in tokenizer.to_str()
-        self.cache = PieceCache(
-            piece_encoder(tokenizer, str.lstrip) if self.lower
-            else lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        )
+        shape = tokenizer.to_str()
+        self.end_id, self.lower = end_id, '{"type":"Lowercase"}' in shape
+        ending = json.loads(shape)["model"].get("end_of_word_suffix")
+        self.cache = PieceCache(word_encoder(tokenizer, ending) if self.lower and ending else whole_encoder(tokenizer))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         ids, ends = encode_column(texts, self.cache, self.lower)
@@ -211,7 +210,7 @@ def write_shards(
     Shards follow each other in ascending key order (null keys first). Rows that share a key follow each other in
     the order of a hash of their text; a key held by many rows may reach over several shards, each of which then
     indexes its own part. A null or empty text is one document that holds the end id only; an empty table has no
-    shard. Other columns are not read. Every attempt of a task writes a file of its own, and the manifest, written
+    shard. The key must be a whole number. Names of special tokens in a text become these tokens, as in the library. Other columns are not read. Every attempt of a task writes a file of its own, and the manifest, written
     to the shared folder, names the files that count, so lost or repeated tasks do no harm. ``tokenizer_path`` is
     read on the driver (a vocabulary of a few megabytes) and sent along with the tasks.
     """
@@ -221,23 +220,25 @@ def write_shards(
     highest = max(end_id, Tokenizer.from_str(tokenizer_json).get_vocab_size() - 1)
     width = np.dtype("<u2" if highest < 65_536 else "<u4")
 
+    folder = qualified(documents.sparkSession, folder)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = kept_in_process(label, lambda: Encoder(tokenizer_json, end_id))
         store, root = _store(folder)
         number = TaskContext.get().partitionId()
         name = f"shard-{number:07d}-{uuid.uuid4().hex}"
         keys, counts, n_null, sink = [], [], 0, None
-        for batch in batches:
-            for piece in parts(batch, "_text", SLICE_BYTES):
-                ids, ends = encoder.encode(piece.column("_text"))
-                if sink is None:
-                    store.create_dir(root, recursive=True)
-                    sink = store.open_output_stream(f"{root}/{name}")
-                sink.write(ids.astype(width).tobytes())
-                column = piece.column("_key")
-                n_null += column.null_count
-                keys.append(column.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
-                counts.append(np.diff(ends, prepend=0))
+        with kept_in_process(label, lambda: Encoder(tokenizer_json, end_id)) as encoder:
+            for batch in batches:
+                for piece in parts(batch, "_text", SLICE_BYTES):
+                    ids, ends = encoder.encode(piece.column("_text"))
+                    if sink is None:
+                        store.create_dir(root, recursive=True)
+                        sink = store.open_output_stream(f"{root}/{name}")
+                    sink.write(ids.astype(width).tobytes())
+                    column = piece.column("_key")
+                    n_null += column.null_count
+                    keys.append(column.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+                    counts.append(np.diff(ends, prepend=0))
         if sink is None:
             return
         key_of, count = np.concatenate(keys), np.concatenate(counts)
@@ -262,6 +263,7 @@ def read_documents(manifest: DataFrame, folder: str, key: str = "doc_id", block:
 
     One task reads one shard or several, each in blocks of ``block`` documents.
     """
+    folder = qualified(manifest.sparkSession, folder)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in (r for b in batches for r in b.to_pylist()):
