@@ -32,7 +32,8 @@ from pyspark.sql import functions as F
 from folioworks.llm.common import as_bytes, parts, spread_out
 from folioworks.session import materialise
 
-SLICE_BYTES = 4 << 20
+# A slice of words takes many times its size, in lists and in arrays.
+SLICE_BYTES = 1 << 20
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 BASE = 0x9E3779B97F4A7C15 | 1
 RUNS = "h bigint, run bigint, doc bigint, v int, start int, n int"
@@ -41,7 +42,7 @@ PLACE = ["doc", "v", "start"]
 
 class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
+        if len(self) > 150_000:
             self.clear()
         made = self[word] = xxhash.xxh64_intdigest(word)
         return made
@@ -120,7 +121,7 @@ def _same_document(left: DataFrame, right: DataFrame) -> Column:
 
 def repeated_spans(documents: DataFrame, k: int = 20, m: int = 8, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Spans that start elsewhere earlier: ``doc, v, start, n`` (windows) with ``source`` (place) and ``digest`` of the
-    source's words; single windows compared by digest already have none."""
+    source's words, which the words of the span must have before they are removed."""
     source = _source(documents, key, text)
     runs = _runs(source, k, m)
     # A written list of hashes leaves the join two plain exchanges, so that Spark can split a frequent hash; dealt anew
@@ -171,9 +172,10 @@ def repeated_spans(documents: DataFrame, k: int = 20, m: int = 8, key: str = "do
     digests = materialise(_digests(there, k).distinct(), "digests")
 
     one = digests.where("each")
+    # Written first, so that Spark can split a window that very many classes share.
     firsts = one.groupBy("digest").agg(F.min(place).alias("source"), F.count(F.lit(1)).alias("times")).where("times > 1")
-    single = one.join(firsts.drop("times"), "digest").where(~F.col("source").eqNullSafe(place))
-    single = single.select(*PLACE, "n", "source", F.lit(None).cast("binary").alias("digest"))
+    firsts = materialise(firsts.drop("times"), "first-windows")
+    single = one.join(firsts, "digest").where(~F.col("source").eqNullSafe(place)).select(*PLACE, "n", "source", "digest")
     proof = digests.where("not each").select(F.struct(*PLACE).alias("source"), "n", "digest")
     return spans.join(proof, ["source", "n"]).select(*PLACE, "n", "source", "digest").union(single)
 
@@ -209,7 +211,7 @@ def _marked(words: list[bytes], spans: list[dict], k: int) -> np.ndarray:
     edge = np.zeros(len(words) + 1, np.int64)
     for s in spans:
         low, high = s["start"], s["start"] + s["n"] + k - 1
-        if s["digest"] is None or _digest(words[low:high]) == s["digest"]:
+        if _digest(words[low:high]) == s["digest"]:
             edge[low] += 1
             edge[high] -= 1
     return np.cumsum(edge[:-1]) > 0
