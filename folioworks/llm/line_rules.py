@@ -70,11 +70,13 @@ def text_rules(documents: DataFrame, text: str) -> DataFrame:
     return third.withColumn("base_failed", failed).drop("_hashes", "_lines", "_sorted", "_places")
 
 
-def frequent_lines(documents: DataFrame, host: str, text: str, share: float, least: int) -> tuple[DataFrame, DataFrame]:
-    """(``unit, line, n_words`` of every line of every distinct text per host, ``line`` hashes above the limit).
+def frequent_lines(documents: DataFrame, key: str, host: str, text: str, share: float, least: int) -> tuple[DataFrame, DataFrame]:
+    """(``unit, line, n_words`` of every line of every text per host, ``line`` hashes above the limit).
 
-    ``unit`` is a hash of host and text, ``line`` of host and normalised line. Copies become one unit in each task already,
-    before the exchange; a host with a third of all rows is spread by line.
+    ``unit`` is a hash of host and text, ``line`` of host and normalised line. Documents of one host with equal texts have the same
+    lines, so a task combines them to one unit before the exchange, and a line counts the documents of its units. Units are
+    written with their numbers of documents, so that Spark can split one that very many lines belong to; a host
+    with a third of all rows is spread by line.
     """
     unit = F.xxhash64(F.lit("unit"), documents[host], documents[text])
     exploded = documents.select(
@@ -87,10 +89,13 @@ def frequent_lines(documents: DataFrame, host: str, text: str, share: float, lea
     # One row per line and unit: copies of a unit have the same line at the same place.
     placed = rows.groupBy("unit", "line", "host", "place").agg(F.max("n_words").alias("n_words"))
     lines = materialise(placed.groupBy("unit", "line", "host").agg(F.sum("n_words").alias("n_words")), "lines")
-    texts = documents.select(F.xxhash64(documents[host]).alias("host"), unit.alias("unit")).distinct()
-    limits = texts.groupBy("host").agg(F.greatest(F.lit(least), F.floor(F.count(F.lit(1)) * share)).alias("limit"))
-    counts = lines.groupBy("line", "host").agg(F.count(F.lit(1)).alias("texts"))
-    return lines, counts.join(limits, "host").where("texts > limit").select("line")
+    texts = documents.select(F.xxhash64(documents[host]).alias("host"), unit.alias("unit"), documents[key].alias("_key")).distinct()
+    units = materialise(texts.groupBy("host", "unit").agg(F.count(F.lit(1)).alias("docs")), "units")
+    limits = units.groupBy("host").agg(F.greatest(F.lit(least), F.floor(F.sum("docs") * share)).alias("limit"))
+    limits = materialise(limits, "line-limits")
+    counts = lines.join(units.select("unit", "docs"), "unit").groupBy("line", "host").agg(F.sum("docs").alias("docs"))
+    counts = materialise(counts.where(F.col("docs") > least), "line-counts")
+    return lines, materialise(counts.join(limits, "host").where("docs > limit").select("line"), "frequent-lines")
 
 
 def line_verdicts(
@@ -99,18 +104,19 @@ def line_verdicts(
 ) -> DataFrame:
     """One row per input row: ``key``, the text rules, ``n_line_words`` (words in lines above the limit) and ``kept``.
 
-    A null text has no words and fails the text rules, as does an empty one. A null host is a host. Rows that repeat
-    host and text get the same verdict. A line that a text repeats counts once for the text; its words count each
-    time they are removed.
+    A line's documents are the distinct keys of its host; rows that repeat key and text are one, and all rows without a key that share
+    a text are. A null text has no words and fails the text rules, as does an empty one. A null host is a host. Rows that
+    repeat host and text get the same verdict. A line that a text repeats counts once for the text; its words count each
+    time they are removed. An empty table gives no rows.
     """
     source = documents.select(documents[key].alias(key), documents[host].alias("_host"), documents[text].alias("_text"))
-    lines, frequent = frequent_lines(source, "_host", "_text", share, least)
+    lines, frequent = frequent_lines(source, key, "_host", "_text", share, least)
     gone = lines.join(frequent, "line", "left_semi")
     return _judged(source, gone, key, kept_share)
 
 
 def _judged(source: DataFrame, gone: DataFrame, key: str, kept_share: float) -> DataFrame:
-    removed = gone.groupBy("unit").agg(F.sum("n_words").alias("_gone"))
+    removed = materialise(gone.groupBy("unit").agg(F.sum("n_words").alias("_gone")), "removed-words")
     rated = text_rules(source, "_text").withColumn("unit", F.xxhash64(F.lit("unit"), "_host", "_text")).drop("_text", "_host")
     joined = rated.join(removed, "unit", "left").withColumn("n_line_words", F.coalesce("_gone", F.lit(0)))
     enough = F.col("n_words") - F.col("n_line_words") >= kept_share * F.col("n_words")
@@ -121,13 +127,15 @@ def _judged(source: DataFrame, gone: DataFrame, key: str, kept_share: float) ->
 
 
 def without_frequent_lines(
-    documents: DataFrame, host: str = "source", text: str = "text", share: float = LINE_SHARE, least: int = LINE_LEAST
+    documents: DataFrame, host: str = "source", text: str = "text", share: float = LINE_SHARE, least: int = LINE_LEAST,
+    key: str = "doc_id",
 ) -> DataFrame:
-    """``documents``, all rows and columns, the text without its lines above the limit."""
+    """``documents``, all rows and columns, the text without its lines above the limit. Nulls and repeats: as in
+    :func:`line_verdicts`; a null text stays null."""
     names = documents.columns
     inner = documents.select(*(documents[c].alias(f"c{i}") for i, c in enumerate(names)))
-    h, t = f"c{names.index(host)}", f"c{names.index(text)}"
-    lines, frequent = frequent_lines(inner, h, t, share, least)
+    h, t, k = (f"c{names.index(c)}" for c in (host, text, key))
+    lines, frequent = frequent_lines(inner, k, h, t, share, least)
     gone = lines.join(frequent, "line", "left_semi").groupBy("unit").agg(F.collect_list("line").alias("_gone"))
     marked = inner.withColumn("unit", F.xxhash64(F.lit("unit"), h, t)).join(gone, "unit", "left")
     kept = F.filter(F.split(t, "\n"), lambda line: ~F.array_contains("_gone", F.xxhash64(F.lit("line"), F.col(h), normalised(line))))

@@ -26,12 +26,12 @@ from folioworks.session import materialise
 
 CLASSES = 32
 CODES = CLASSES * CLASSES
-HIDDEN = 12
+HIDDEN = 16
 SIDES = (-2, -1, 1, 2)
 EDGE = CODES  # the row of a neighbour beyond the text
 SLICE_BYTES = 2 << 20
-BATCH = 4096
-RATE = 0.07
+BATCH = 2048
+RATE = 0.05
 SHAPES = {
     "side": (len(SIDES), CODES + 1, HIDDEN),
     "first": (HIDDEN + 1, CLASSES),
