@@ -7,24 +7,36 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from folioworks.llm import byte_bpe, mixing, quality, simhash, substring
 from folioworks.session import materialise
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents the ordinal classifier accepts; it is fitted on the rated ones among them."""
+    """Documents the ordinal classifier accepts; it is fitted on the rated ones among them.
+
+    A null or empty text is judged by the thresholds alone, rows that repeat are judged alike, a null key has no label. Without any label
+    all rows stay; of an empty table none.
+    """
     return quality.keep_accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group."""
+    """One document of each SimHash group: the one with the least ``doc_id``.
+
+    Texts without words share the fingerprint zero and are one group, null and empty ones among them; of rows that repeat one stays.
+    """
     return simhash.drop_near_duplicates(docs, shingle=3, distance=3)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without passages of 20 words and more that stand earlier already."""
-    return substring.remove_repeats(docs, k=20, output="documents")
+    """Texts without passages of 20 words and more that stand earlier already, with their new number of characters.
+
+    Every row stays; a text that loses all its words is empty, a null text stays null, texts of fewer words are as they were.
+    """
+    kept = substring.remove_repeats(docs, k=20, output="documents")
+    return kept.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +45,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every text with the first character of each, and the text decoded from them."""
+    """Ids of every text with the first character of each, and the text decoded from them; a null or empty text has none."""
     return byte_bpe.encode_decode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
@@ -44,7 +56,7 @@ STAGES = [
     ("mixed_sources", mixed_sources),
     ("encoded", encoded),
 ]
-# The fitted classifier cannot be put in SQL; the stages are tested against brute force.
+# The fitted classifier cannot be put in SQL; tests/llm holds the stages after it against plain Python.
 ORACLE_SQL = None
 
 
