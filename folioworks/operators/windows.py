@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from folioworks.session import materialise
+
 
 def first_seen(df: DataFrame, key: str = "url", order: Sequence[str] = ("page_id", "pos")) -> DataFrame:
     """The first row per key in document order.
@@ -70,15 +72,26 @@ def number_comments(
     return prefix_scan(comments, [key], [order], F.floor(F.col(order) / width), position=name)
 
 
+def ranged(df: DataFrame, group: Sequence[str], order: Sequence[str], ranges: int | None = None, name: str = "_range") -> DataFrame:
+    """``df`` with the number of its range of the whole order ``(group, order)``, by which :func:`prefix_scan` can cut groups.
+
+    The borders are quantiles that Spark samples over all columns of the order, so ranges hold about as many rows each whether a group is large or
+    many rows share its first column. The numbered rows are written once: their borders must be the same wherever they are read.
+    """
+    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = df.repartitionByRange(ranges, *group, *order).withColumn(name, F.spark_partition_id())
+    return materialise(cut, "ranges")
+
+
 def positions(
     log: DataFrame,
     run: str = "run",
     order: Sequence[str] = ("ts", "event_id"),
-    seconds: int = 10,
+    ranges: int | None = None,
 ) -> DataFrame:
-    """Item i of N within a run: adds ``seq`` and ``run_size``. The first order column is a timestamp."""
-    bucket = F.floor(F.unix_micros(F.col(order[0]).cast("timestamp")) / (seconds * 1_000_000))
-    return prefix_scan(log, [run], order, bucket, position="seq", total="run_size")
+    """Item i of N within a run: adds ``seq`` and ``run_size``."""
+    cut = ranged(log, [run], order, ranges)
+    return prefix_scan(cut, [run], order, F.col("_range"), position="seq", total="run_size").drop("_range")
 
 
 def checkpoints(
@@ -87,16 +100,15 @@ def checkpoints(
     run: str = "run",
     order: Sequence[str] = ("ts", "event_id"),
     status: str = "status",
-    seconds: int = 10,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Running success and error totals of a run, sampled at every ``every``-th item."""
     ok = F.col(status) == "ok"
-    bucket = F.floor(F.unix_micros(F.col(order[0]).cast("timestamp")) / (seconds * 1_000_000))
     scanned = prefix_scan(
-        log,
+        ranged(log, [run], order, ranges),
         [run],
         order,
-        bucket,
+        F.col("_range"),
         sums={"successes": F.when(ok, 1).otherwise(0), "errors": F.when(ok, 0).otherwise(1)},
         position="seq",
         total="run_size",

@@ -221,6 +221,32 @@ def markdown_files(t):
     return readers.scan_markdown_posts(t.spark, f"{root}/_posts").select("file_path", F.md5("text").alias("digest"))
 
 
+FILE_ID = "('0x' || substr(sha256('p' || page_id || '.html'), 1, 15))::BIGINT"
+
+
+@query(
+    f"""WITH {V.INDEX_LINKS}, saved AS (SELECT * REPLACE ({FILE_ID} AS page_id) FROM index_links),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY path ORDER BY page_id, pos) AS rn FROM saved)
+    SELECT '{SITE.base_url}' || path AS url, path, title, page_id, pos FROM ranked WHERE rn = 1"""
+)
+def manifest_from_files(t):
+    """Index pages saved as files, read back with their numbers, to manifest."""
+    root = fresh_path(t.spark, "saved-pages")
+    saved = V.index_pages(t).select(F.format_string("p%d.html", "page_id").alias("file_path"), F.col("html").alias("markdown"))
+    writers.export_files(saved, root)
+    pages = readers.scan_page_files(t.spark, root, base_url=SITE.base_url + "/index")
+    good, _ = archive.build_manifest(pages, SITE, "Entries by Title")
+    return good.withColumn("pos", F.col("pos").cast("bigint"))
+
+
+@query(f"WITH {MANIFEST} SELECT row_number() OVER (ORDER BY pos) - 1 AS pos, url, path, title FROM manifest")
+def manifest_document(t):
+    """One JSON document with a header and a nested list, its posts in order, read by several tasks."""
+    path = fresh_path(t.spark, "manifest-document")
+    writers.write_manifest_document(V.manifest(t), path, SITE.base_url)
+    return readers.scan_manifest_split(t.spark, f"{path}/manifest.json")
+
+
 @query(f"WITH {POSTS} SELECT title, url, date, comments_count, archive_path, (SELECT count(*) FROM posts) AS total FROM posts")
 def master_index_table(t):
     path = fresh_path(t.spark, "master")
@@ -242,6 +268,20 @@ def completed_table(t):
     return readers.scan_completed(t.spark, path).select("url")
 
 
+@query(f"WITH {POSTS} SELECT url, doc_id % 3 <> 2 AS in_snapshot FROM posts")
+def completed_snapshots(t):
+    """Appends with two compactions between them; the last snapshot holds what was appended before it."""
+    path = fresh_path(t.spark, "completed")
+    results = V.post_dates(t).select("url", F.lit("ok").alias("status"), (F.col("doc_id") % 3).alias("part"))
+    for part in (0, 1):
+        writers.append_completed(results.where(F.col("part") <= part), path)
+        last = writers.compact_completed(t.spark, path)
+    writers.append_completed(results.where("part = 2"), path)
+    held = t.spark.read.parquet(f"{path}/snapshot-{last}").select("url", F.lit(True).alias("held"))
+    rows = readers.scan_completed(t.spark, path).join(held, "url", "left")
+    return rows.select("url", F.coalesce("held", F.lit(False)).alias("in_snapshot"))
+
+
 @query(
     f"""WITH {POSTS}, l AS (SELECT {INDEX_LINE} AS line FROM posts UNION ALL SELECT unnest(['---', 'title: Archive', 'layout: home', '---', '',
     'This archive preserves ' || (SELECT count(*) FROM posts) || ' posts and their comments.', ''])) SELECT line, count(*) AS n FROM l GROUP BY 1"""

@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioworks.functions.text import col_
+from folioworks.operators.windows import prefix_scan
+from folioworks.session import qualified
 
 MANIFEST_SCHEMA = (
     "extraction_date string, total_posts bigint, source_url string, "
@@ -24,12 +26,22 @@ def scan_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def scan_page_files(spark: SparkSession, path: str, glob: str = "*.html") -> DataFrame:
-    """Saved pages, one file per page: ``(url, html)`` with the file path as URL."""
-    return (
-        spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=glob)
-        .select(F.col("_metadata.file_path").alias("url"), F.col("value").alias("html"))
-    )
+def scan_page_files(spark: SparkSession, path: str, glob: str = "*.html", base_url: str | None = None) -> DataFrame:
+    """Saved pages, one file per page: ``(page_id, url, html)``.
+
+    The URL is the path below the folder after ``base_url``, or the file's full path without it. ``page_id`` is taken from a digest
+    of the path below the folder, so a page keeps its number when others come or the folder moves, and no page source
+    leaves its task. Two of 10^8 pages share one of the 60-bit numbers with a chance below 1 %; the flows know a
+    page by its URL as well, so such a pair stays two pages.
+    """
+    top = qualified(spark, path).rstrip("/") + "/"
+    place = F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B"))
+    below = F.substring(place, F.locate(top, place) + F.lit(len(top)), F.length(place))
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=glob)
+    files = files.select(F.col("_metadata.file_path").alias("_file"), below.alias("_below"), F.col("value").alias("html"))
+    number = F.conv(F.substring(F.sha2("_below", 256), 1, 15), 16, 10).cast("bigint")
+    url = F.concat(F.lit(base_url.rstrip("/") + "/"), "_below") if base_url else F.col("_file")
+    return files.select(number.alias("page_id"), url.alias("url"), "html")
 
 
 SPREAD = "spark.folioworks.spread"
@@ -48,12 +60,42 @@ def spread(df: DataFrame, key: str, parts: int | None = None) -> DataFrame:
 def scan_manifest(spark: SparkSession, path: str) -> DataFrame:
     """Manifest posts with their place: ``(pos, url, path, title)``.
 
-    Reads one JSON document with a header and a nested list, or the row form (see ``write_manifest``).
+    Reads JSON documents with a header and one nested list of any shape, each document in one task. For large ones see
+    :func:`scan_manifest_split`, for the row form :func:`scan_manifest_rows`.
     """
     nested = spark.read.schema(MANIFEST_SCHEMA).json(path, multiLine=True)
     return nested.select(F.posexplode("posts").alias("pos", "p")).select("pos", "p.*")
 
 
+POST_OPENS = r'(?s)(?:^\s*,|"posts"\s*:\s*\[)\s*(\{.*)'
+
+
+def scan_manifest_split(spark: SparkSession, path: str) -> DataFrame:
+    """As :func:`scan_manifest` for large documents: each is cut at its closing braces and read by many tasks.
+
+    Spark splits a text at a one-byte separator wherever a task's range of the file begins. A brace closes a post if an even number of
+    quotes stands before it in the document; the pieces of a post with braces in its strings are put together again.
+    Posts must be flat objects in the last list of the header; anything else ends the job.
+    """
+    piece = F.col("value")
+    rows = spark.read.text(path, lineSep="}").select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"),  # rises along a block, which lies in one task
+        piece.alias("piece"),
+        F.regexp_count(F.regexp_replace(piece, r"\\.", ""), F.lit('"')).alias("quotes"),
+    )
+    scan = {"group": ["file"], "order": ["place"], "bucket": F.col("block")}
+    quoted = prefix_scan(rows, **scan, sums={"before": F.col("quotes")}, position="_n")
+    closes = quoted.withColumn("closes", (F.col("before") % 2 == 0).cast("int")).drop("_n", "before", "quotes")
+    placed = prefix_scan(closes, **scan, sums={"upto": F.col("closes")}, position="_n")
+    pieces = F.transform(F.array_sort(F.collect_list(F.struct("_n", "piece"))), lambda p: p["piece"])
+    whole = placed.groupBy("file", (F.col("upto") - F.col("closes")).alias("pos")).agg(F.array_join(pieces, "}").alias("text"))
+    post = F.concat(F.regexp_extract("text", POST_OPENS, 1), F.lit("}"))
+    posts = whole.where(F.col("text").rlike(POST_OPENS)).select("pos", F.from_json(post, "url string, path string, title string", {"mode": "FAILFAST"}).alias("p"))
+    return posts.select("pos", "p.*")
+
+
 def scan_manifest_rows(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("pos bigint, url string, path string, title string").json(f"{path}/posts")
 
@@ -107,12 +149,29 @@ def scan_markdown_posts(spark: SparkSession, folder: str) -> DataFrame:
 COMPLETED_SCHEMA = "url string, completed_at timestamp"
 
 
-def scan_completed(spark: SparkSession, path: str) -> DataFrame:
-    """Completed URLs, each once; empty when nothing was written yet."""
+def completed_generation(spark: SparkSession, path: str) -> int:
+    """Number of the last whole snapshot of a completed log, 0 before the first. Only folder names are listed."""
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/snapshot-*/_SUCCESS")
+    found = done.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(done) or []
+    return max((int(f.getPath().getParent().getName().rsplit("-", 1)[-1]) for f in found), default=0)
+
+
+def _rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
     try:
-        rows = spark.read.schema(COMPLETED_SCHEMA).parquet(path)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
-        rows = spark.createDataFrame([], COMPLETED_SCHEMA)
+        return spark.createDataFrame([], schema)
+
+
+def scan_completed(spark: SparkSession, path: str) -> DataFrame:
+    """Completed URLs, each once; empty when nothing was written yet.
+
+    Reads the last snapshot (see ``compact_completed``) and what was appended since, however many appends came before.
+    """
+    last = completed_generation(spark, path)
+    rows = _rows(spark, f"{path}/log-{last}", COMPLETED_SCHEMA)
+    if last:
+        rows = rows.unionByName(_rows(spark, f"{path}/snapshot-{last}", COMPLETED_SCHEMA))
     return rows.groupBy("url").agg(F.min("completed_at").alias("completed_at"))

@@ -15,6 +15,7 @@ from folioworks.operators.filters import changed, drop_blank
 from folioworks.operators.ordering import newest_first
 from folioworks.operators.render import master_entry
 from folioworks.session import materialise, qualified
+from folioworks.sources.readers import completed_generation, scan_completed
 
 
 def write_manifest(df: DataFrame, path: str, source_url: str) -> None:
@@ -24,6 +25,25 @@ def write_manifest(df: DataFrame, path: str, source_url: str) -> None:
     header.write.json(f"{path}/header")
 
 
+def write_manifest_document(df: DataFrame, path: str, source_url: str) -> None:
+    """The manifest as one JSON document ``manifest.json`` below ``path``, header first, then the posts by ``pos``, which is unique.
+
+    One file is written by one task, row by row; :func:`write_manifest` is the form for many tasks.
+    """
+    spark = df.sparkSession
+    head = stamp(count_posts(df).withColumn("source_url", F.lit(source_url)), "extraction_date", text=True)
+    opening = F.concat(F.regexp_replace(F.to_json(F.struct("extraction_date", "total_posts", "source_url")), r"\}$", ""), F.lit(', "posts": ['))
+    first = df.agg(F.min("pos")).scalar()
+    post = F.to_json(F.struct("url", "path", "title"), {"ignoreNullFields": "false"})
+    posts = df.select(F.struct(F.lit(1).alias("part"), "pos").alias("segment"), F.concat(F.when(F.col("pos") == first, "\n").otherwise(",\n"), post).alias("markdown"))
+
+    def edge(rows: DataFrame, part: int, text) -> DataFrame:
+        return rows.select(F.struct(F.lit(part).alias("part"), F.lit(0).cast(df.schema["pos"].dataType).alias("pos")).alias("segment"), text.alias("markdown"))
+
+    whole = edge(head, 0, opening).union(posts).union(edge(spark.range(1), 2, F.lit("\n]}\n")))
+    export_files(whole.withColumn("file_path", F.lit("manifest.json")), path, segment="segment")
+
+
 def write_posts(df: DataFrame, path: str, site: Site = Site(), form: str = "parquet", mode: str = "append") -> None:
     """Post records with a URL, partitioned by the year and month of that URL (``0`` when undated).
 
@@ -121,8 +141,21 @@ def write_master_index(posts: DataFrame, path: str, source_site: str) -> None:
 
 
 def append_completed(results: DataFrame, path: str) -> None:
-    """Append the successes; earlier rows are never rewritten and readers drop repeats."""
-    stamp(results.where("status = 'ok'").select("url"), "completed_at").write.mode("append").parquet(path)
+    """Append the successes to the log of the last snapshot; earlier rows are never rewritten and readers drop repeats."""
+    last = completed_generation(results.sparkSession, path)
+    rows = stamp(results.where("status = 'ok'").select("url"), "completed_at")
+    rows.write.mode("append").parquet(f"{path}/log-{last}")
+
+
+def compact_completed(spark: SparkSession, path: str) -> int:
+    """Write a new snapshot of all completed URLs, each once with its first time, and return its number.
+
+    A snapshot counts from the moment it is whole; one that broke off is overwritten by the next call, and until then readers
+    keep to the one before. Appends and compactions of one log take turns. Folders of lower numbers are read no more and may be deleted.
+    """
+    last = completed_generation(spark, path)
+    scan_completed(spark, path).write.mode("overwrite").parquet(f"{path}/snapshot-{last + 1}")
+    return last + 1
 
 
 def write_listing(lines: DataFrame, order: list, path: str) -> None:

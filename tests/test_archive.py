@@ -136,6 +136,20 @@ def test_positions_within_one_instant(spark):
     assert all(r.seq == r.event_id + 1 and r.run_size == 500 for r in got.collect())
 
 
+def test_one_instant_spreads_over_ranges(spark):
+    """Ranges follow the rows, not the clock: a burst is cut like any other run, and a range may end one run and begin the next."""
+    df = spark.range(20_000).selectExpr("if(id < 100, null, if(id < 200, 'a', 'r')) AS run", "timestamp'2024-01-01' AS ts", "id AS event_id")
+    cut = W.ranged(df, ["run"], ["ts", "event_id"], ranges=16)
+    sizes = [r["count"] for r in cut.groupBy("_range").count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 5_000
+    got = W.positions(df, ranges=16)
+    assert got.columns == ["run", "ts", "event_id", "seq", "run_size"]
+    starts = {None: (0, 100), "a": (100, 100), "r": (200, 19_800)}
+    rows = got.collect()
+    assert len(rows) == 20_000 and all((r.event_id - r.seq + 1, r.run_size) == starts[r.run] for r in rows)
+    assert W.positions(df.where("false")).count() == 0
+
+
 def test_first_seen_on_a_hot_key(spark):
     df = spark.createDataFrame([("u" if i % 3 else f"v{i}", 100 - i, i) for i in range(100)], "url string, page_id long, pos long")
     got = {r.url: r.page_id for r in W.first_seen(df).collect()}
@@ -183,6 +197,40 @@ def test_manifest_document(spark, tmp_path):
     assert [tuple(r) for r in readers.scan_manifest(spark, str(file)).orderBy("pos").collect()] == [(0, "u1", "/1", "ü"), (1, "u2", "/2", "b")]
 
 
+def test_split_manifest_document(spark, tmp_path):
+    """A document cut into many parts reads like one: braces, quotes, backslashes and separators inside strings, any spacing."""
+    titles = ['plain', 'a } b', '}}{{', '"}"', '\\', '\\"}', '"posts": [{', ', {"url": "x"}', 'ü日本😀}', '', None, '],', ' "', 'x' * 300]
+    posts = [{"url": f"u{i}", "path": f"/{i}", "title": titles[i % len(titles)]} for i in range(700)]
+    doc = {"extraction_date": "2020 }", "total_posts": 700, "source_url": 's"posts": [{', "posts": posts}
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for name, style in (("wide", {"indent": 2}), ("tight", {"separators": (",", ":")}), ("escaped", {"ensure_ascii": False})):
+        file = tmp_path / f"{name}.json"
+        file.write_text(json.dumps(doc, **style), encoding="utf-8")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "997b")
+        try:
+            got = readers.scan_manifest_split(spark, str(file)).orderBy("pos").collect()
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        assert [tuple(r) for r in got] == [(i, p["url"], p["path"], p["title"]) for i, p in enumerate(posts)]
+    whole = readers.scan_manifest(spark, str(tmp_path / "wide.json")).orderBy("pos").collect()
+    assert whole == got
+    (tmp_path / "none.json").write_text(json.dumps({"total_posts": 0, "posts": []}))
+    assert readers.scan_manifest_split(spark, str(tmp_path / "none.json")).count() == 0
+    (tmp_path / "cut.json").write_text('{"posts": [{"url": {"nested": 1}, "path": "p"}]}')
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        readers.scan_manifest_split(spark, str(tmp_path / "cut.json")).collect()
+
+
+def test_written_manifest_document(spark, tmp_path):
+    rows = [(0, "u", "/p", 'a "}'), (1, "v", None, ""), (7, "w", "/q", "é")]
+    writers.write_manifest_document(spark.createDataFrame(rows, "pos long, url string, path string, title string"), str(tmp_path / "m"), "http://s")
+    doc = json.loads((tmp_path / "m" / "manifest.json").read_text(encoding="utf-8"))
+    assert (doc["total_posts"], doc["source_url"]) == (3, "http://s") and doc["extraction_date"]
+    assert [(p["url"], p["path"], p["title"]) for p in doc["posts"]] == [r[1:] for r in rows]
+    writers.write_manifest_document(spark.createDataFrame([], "pos long, url string, path string, title string"), str(tmp_path / "n"), "http://s")
+    assert json.loads((tmp_path / "n" / "manifest.json").read_text())["posts"] == []
+
+
 def test_archive_files_roundtrip(spark, posts, tmp_path):
     root = str(tmp_path / "archive")
     full = R.render_post_markdown(posts.withColumn("raw_html", F.lit("<p>é\r\n</p>")).drop("file_path", "archive_path"))
@@ -227,12 +275,49 @@ def test_completed_starts_empty(spark, tmp_path):
     assert readers.scan_completed(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_completed_log_is_compacted(spark, tmp_path):
+    path = str(tmp_path / "done")
+
+    def append(*urls):
+        writers.append_completed(spark.createDataFrame([(u, "ok") for u in urls] + [("bad", "failed")], "url string, status string"), path)
+
+    for i in range(5):
+        append("a", "b", f"u{i}")
+    first = {r.url: r.completed_at for r in readers.scan_completed(spark, path).collect()}
+    assert writers.compact_completed(spark, path) == 1
+    append("a", "late")
+    got = {r.url: r.completed_at for r in readers.scan_completed(spark, path).collect()}
+    assert set(got) == set(first) | {"late"} and all(got[u] == first[u] for u in first)
+    # Nothing of the appends before the snapshot is read again.
+    assert {f.rsplit("/", 2)[1] for f in readers.scan_completed(spark, path).inputFiles()} == {"snapshot-1", "log-1"}
+    # A snapshot that broke off does not count, and the next one takes its place.
+    (tmp_path / "done" / "snapshot-2").mkdir()
+    (tmp_path / "done" / "snapshot-2" / "part-0.parquet").write_bytes(b"broken")
+    assert readers.scan_completed(spark, path).count() == len(got)
+    assert writers.compact_completed(spark, path) == 2
+    assert {r.url: r.completed_at for r in readers.scan_completed(spark, path).collect()} == got
+    assert writers.compact_completed(spark, str(tmp_path / "new")) == 1 and readers.scan_completed(spark, str(tmp_path / "new")).count() == 0
+
+
 def test_page_files(spark, tmp_path):
     (tmp_path / "sub").mkdir()
     (tmp_path / "sub" / "a.html").write_text("<p>x</p>\n<p>y</p>")
     assert [r.html for r in readers.scan_page_files(spark, str(tmp_path)).collect()] == ["<p>x</p>\n<p>y</p>"]
 
 
+def test_page_files_keep_their_numbers(spark, tmp_path):
+    """Numbers depend on the path below the folder alone: other pages and another place of the folder do not change them."""
+    for place, names in (("one", ("a b+c é.html", "sub/x.html")), ("two/two", ("a b+c é.html", "new.html", "sub/x.html", "sub/two/x.html"))):
+        for name in names:
+            file = tmp_path / place / name
+            file.parent.mkdir(parents=True, exist_ok=True)
+            file.write_text(name)
+    one, two = ({r.url: r for r in readers.scan_page_files(spark, str(tmp_path / p), base_url="http://s.example/").collect()} for p in ("one", "two/two"))
+    assert {u: r.html for u, r in two.items()} == {f"http://s.example/{n}": n for n in ("a b+c é.html", "new.html", "sub/x.html", "sub/two/x.html")}
+    assert all(two[u].page_id == r.page_id for u, r in one.items()) and len({r.page_id for r in two.values()}) == 4
+    assert all(0 <= r.page_id < 2**60 for r in two.values())
+
+
 def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
     from folioworks.operators.joins import remaining
 
