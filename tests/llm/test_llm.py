@@ -275,7 +275,7 @@ def test_top_k(spark):
         want |= {(int(ids[i]), n, int(ids[j]), int(scores[j])) for n, j in enumerate(order, 1)}
     assert set(map(tuple, QUERIES["op7_top_k"](spark, SMALL).collect())) == want
     frame = spark.createDataFrame([(r.vec_id, [float(v) * (1 + r.vec_id % 7) for v in r.embedding]) for r in rows], "vec_id bigint, embedding array<double>")
-    small = topk.top_k(frame, bucket_rows=40, block_rows=3)
+    small = topk.top_k(frame, bucket_rows=7, block_rows=3, tile_bytes=40 * 8 * len(rows[0].embedding))
     x = np.floor(256 * np.array([[float(v) * (1 + r.vec_id % 7) for v in r.embedding] for r in rows])).astype(np.int64)
     best = {int(ids[i]): sorted((int(s) for j, s in enumerate(x @ x[i]) if j != i), reverse=True)[:5] for i in np.flatnonzero(ids % 50 == 0)}
     got = defaultdict(list)
@@ -286,6 +286,18 @@ def test_top_k(spark):
     frame = spark.createDataFrame([(*r, 1) for r in odd], "vec_id bigint, embedding array<double>, label int")
     assert sorted(map(tuple, topk.top_k(frame).collect())) == [(0, 1, 4, 98304), (0, 2, 5, 98304)]
     assert topk.top_k(frame.where("false")).count() == 0
+    # Components of 1e300 are finite but have no integer products; an id of many vectors takes one place, as a query and as a result.
+    rng = np.random.default_rng(7)
+    many = [(i % 37 if i % 3 else 50, [float(v) for v in rng.integers(-9, 9, 4)]) for i in range(600)] + [(50, [1e300] * 4), (3, [1e300] * 4), (9, []), (100, [])]
+    best = defaultdict(dict)
+    for q, qx in many:
+        for i, x in many:
+            if q % 50 == 0 and i != q and len(x) == len(qx) and 1e300 not in (*qx, *x):
+                score = sum(int(256 * a) * int(256 * b) for a, b in zip(qx, x))
+                best[q][i] = max(score, best[q].get(i, score))
+    want = sorted((q, n, i, s) for q, by in best.items() for n, (s, i) in enumerate(sorted(((s, i) for i, s in by.items()), key=lambda r: (-r[0], r[1]))[:5], 1))
+    got = topk.top_k(spark.createDataFrame(many, "vec_id bigint, embedding array<double>"), bucket_rows=5, block_rows=2, tile_bytes=32 * 30)
+    assert sorted(map(tuple, got.collect())) == want
 
 
 def test_substring(spark, texts, odd, empty):
