@@ -48,12 +48,24 @@ def comment_counts(posts: DataFrame) -> DataFrame:
     return posts.select("url", F.size("comments").cast("bigint").alias("comments"))
 
 
+COMMENTS_HEADING = r"\n\n## Comments(?:\n\n---\n| \(\d+\)\n\n)"
+
+
 def comment_counts_in_text(files: DataFrame, key: str = "file_path", text: str = "text") -> DataFrame:
-    """Comments counted in rendered text after the comments heading, for either layout."""
-    tail = F.coalesce(F.get(F.split(text, "## Comments", -1), 1), F.lit(""))
-    numbered = F.size(F.regexp_extract_all(tail, F.lit(r"### Comment \d+"), 0))
+    """Comments of a rendered text, in either layout: the number its front matter carries, else those after the last comments heading.
+
+    Without a carried number, comments of the site layout count by their author's name, those before a comment that holds the
+    layout's heading itself are not seen, and such a heading in the body of a post without comments is taken for theirs.
+    """
+    body = F.col(text)
+    front = F.when(F.startswith(body, F.lit("---\n")), F.substring_index(body, "\n---\n", 1))
+    carried = F.get(F.reverse(F.regexp_extract_all(front, F.lit(r"(?m)^comments_count: (\d+)$"), 1)), 0).cast("bigint")
+    parts = F.split(body, COMMENTS_HEADING, -1)
+    tail = F.when(F.size(parts) > 1, F.element_at(parts, -1)).otherwise(F.lit(""))
+    numbered = F.size(F.regexp_extract_all(tail, F.lit(r"(?m)^### Comment \d+$"), 0))
     signed = F.size(F.regexp_extract_all(tail, F.lit(r"(?m)^\*\*Author:\*\* "), 0))
-    return files.select(key, F.when(numbered > 0, numbered).otherwise(signed).cast("bigint").alias("comments_count"))
+    seen = F.when(numbered > 0, numbered).otherwise(signed).cast("bigint")
+    return files.select(key, F.coalesce(carried, seen).alias("comments_count"))
 
 
 def collect_comments(comments: DataFrame, key: str = "url", ordinal: str = "comment_no", chunk: int = 100) -> DataFrame:

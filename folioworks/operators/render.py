@@ -77,7 +77,7 @@ def render_post_markdown(posts: DataFrame, out: str = "markdown") -> DataFrame:
 # ---- the site layout: front matter, then the post, then signed comments
 
 
-def site_head(default_author: str) -> Column:
+def site_head(default_author: str, comments_count: Column | None = None) -> Column:
     author = F.when(_blank("author"), F.lit(default_author)).otherwise(F.col("author"))
     title = F.when(_blank("title"), F.lit("Untitled")).otherwise(escape_quotes("title"))
     from_path = F.nullif(F.regexp_extract("file_path", r"(\d{4}-\d{2}-\d{2})", 1), F.lit(""))
@@ -91,6 +91,7 @@ def site_head(default_author: str) -> Column:
         ),
         F.when(F.size("categories") > 0, F.concat(F.lit("categories: "), list_literal("categories"))),
         F.when(_some("url"), F.concat(F.lit('original_url: "'), escape_quotes("url"), F.lit('"'))),
+        *([] if comments_count is None else [F.concat(F.lit("comments_count: "), comments_count.cast("string"))]),
         "layout: post",
         "---",
         "",
@@ -116,11 +117,15 @@ def _site_comment(c: Column) -> Column:
     )
 
 
-def render_site_markdown(posts: DataFrame, default_author: str, out: str = "markdown") -> DataFrame:
-    """As :func:`render_post_markdown` in the site layout; needs ``file_path`` for undated posts."""
+def render_site_markdown(posts: DataFrame, default_author: str, out: str = "markdown", carry_count: bool = False) -> DataFrame:
+    """As :func:`render_post_markdown` in the site layout; needs ``file_path`` for undated posts.
+
+    With ``carry_count`` the front matter names the number of comments, which the text alone cannot always tell.
+    """
+    n = F.coalesce(F.size("comments"), F.lit(0)) if carry_count else None
     tail = F.concat(F.lit(SITE_COMMENTS_HEAD), _per_comment(F.col("comments"), _site_comment))
     return posts.withColumn(
-        out, F.concat(site_head(default_author), F.when(F.size("comments") > 0, tail).otherwise(F.lit("")))
+        out, F.concat(site_head(default_author, n), F.when(F.size("comments") > 0, tail).otherwise(F.lit("")))
     )
 
 

@@ -428,6 +428,16 @@ def comment_counts_in_text(t):
     return found.groupBy("url").pivot("layout", ["site", "post"]).agg(F.sum("comments_count"))
 
 
+@query(f"WITH {POSTS} SELECT url, len(comments)::BIGINT AS site, len(list_filter(comments, lambda c: c.author <> ''))::BIGINT AS signed FROM posts")
+def comment_counts_carried(t):
+    """Counts that the front matter carries, with unsigned comments, and for bodies that hold a comments heading with the plain layout."""
+    p = V.posts(t).withColumn("content", F.concat("content", F.lit("\n\n## Comments\n\n---\n\n**Author:** body\n")))
+    bare = R.render_site_markdown(p.withColumn("comments", F.filter("comments", lambda c: c["author"] != "")), AUTHOR, "bare")
+    both = R.render_site_markdown(p, AUTHOR, "site", carry_count=True).join(bare.where("size(comments) > 0").select("url", "bare"), "url", "left")
+    signed = A.comment_counts_in_text(both, "url", "bare").select("url", F.coalesce("comments_count", F.lit(0)).cast("bigint").alias("signed"))
+    return A.comment_counts_in_text(both, "url", "site").select("url", F.col("comments_count").alias("site")).join(signed, "url")
+
+
 @query(f"WITH {THREADS} SELECT url, turn, comment_no, author FROM threads")
 def comments_numbered(t):
     return W.number_comments(V.threads(t)).select("url", "turn", "comment_no", "author")
