@@ -14,9 +14,8 @@ that a corpus happens to be cut into change a score.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
-from itertools import chain
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +36,8 @@ BATCH = 2048
 RATE = 0.05
 ROUNDS = 4
 BLOCK_WORDS = 4_000_000
+CHUNK = 1 << 18
+BASE, MIX = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93  # odd numbers; any would do
 SAFE = 60.0
 LEVEL_ONES = np.repeat(np.eye(LEVELS, dtype=np.float32), BRANCHES, axis=0)
 UNIT = float(1 << 20)  # averaged states are sums of whole multiples of 1 / UNIT, which do not depend on their order
@@ -50,12 +51,42 @@ SHAPES = {
 CODED = "_key {}, _h bigint, _codes binary, _n bigint"
 
 
-class WordCodes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
-            self.clear()
-        made = self[word] = zlib.crc32(word.lower()) % CODES
-        return made
+def _values() -> np.ndarray:
+    """What each byte counts for in a word's hash: white space 0, capitals as small letters."""
+    values = np.arange(256)
+    values[65:91] += 32
+    values += 1
+    values[[32, *range(9, 14)]] = 0
+    return values.astype(np.uint8)  # UTF-8 has no byte 255
+
+
+VALUES = _values()
+
+
+@lru_cache(maxsize=1)
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The powers of the hash's base and of its inverse, modulo 2^64."""
+    made = np.ones((2, size), np.uint64)
+    made[:, 1:] = np.array([[BASE], [pow(BASE, -1, 1 << 64)]], np.uint64)
+    up, down = np.cumprod(made, axis=1)
+    return up, down
+
+
+def _word_codes(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Codes of the words that start at ``starts``, from a polynomial over each word's bytes. A range of about ``CHUNK`` bytes is
+    worked on at a time; a longer word is a range of its own."""
+    made, low = np.empty(len(starts), np.int16), 0
+    while low < len(starts):
+        at = starts[low]
+        high = len(starts) if len(values) - at <= CHUNK else max(low + 1, int(np.searchsorted(starts, at + CHUNK, side="right")) - 1)
+        part = values[at : starts[high] if high < len(starts) else len(values)]
+        up, down = _powers(max(CHUNK, 1 << (len(part) - 1).bit_length()))
+        places = starts[low:high] - at
+        hashed = np.add.reduceat(part * up[: len(part)], places) * down[places]  # white space adds nothing
+        hashed ^= hashed >> np.uint64(29)
+        made[low:high] = (hashed * np.uint64(MIX)) >> np.uint64(64 - BITS * LEVELS)
+        low = high
+    return made
 
 
 class Network:
@@ -84,13 +115,13 @@ class Network:
 
     def _logits(self, around: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Hidden states, and by level what speaks for each digit, within what an exponential can hold."""
-        summed = self.side[0][around[0]]
+        summed = self.side[0].take(around[0], axis=0)
         for j in range(1, len(SIDES)):
-            summed += self.side[j][around[j]]
+            summed += self.side[j].take(around[j], axis=0)
         hidden = np.tanh(summed, out=summed)
         logits = (hidden @ self.out).reshape(len(codes), LEVELS, BRANCHES)
         for level in range(LEVELS):
-            logits[:, level] += getattr(self, f"given{level}")[above(codes, level)]
+            logits[:, level] += getattr(self, f"given{level}").take(above(codes, level), axis=0)
         if logits.max() > SAFE or logits.min() < -SAFE:
             logits -= logits.max(axis=2, keepdims=True)
         return hidden, logits
@@ -107,7 +138,7 @@ class Network:
         n = len(codes)
         hidden, d = self._logits(around, codes)
         np.exp(d, out=d)  # softmax less the right answer
-        d /= _level_sums(d)[:, :, None] * n
+        d *= (1 / (n * _level_sums(d)))[:, :, None]
         d[np.arange(n)[:, None], np.arange(LEVELS), digits(codes)] -= 1 / n
         flat = d.reshape(n, LEVELS * BRANCHES)
         d_hidden = (flat @ self.out.T) * (1 - hidden * hidden)
@@ -150,12 +181,16 @@ def _summed(keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return keys[order][cuts], np.add.reduceat(rows[order], cuts)
 
 
-def coded(texts: list[bytes | None], codes: WordCodes) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of all words, and the number of words of each text."""
-    split = [t.split() if t else [] for t in texts]
-    counts = np.fromiter(map(len, split), np.int64, len(split))
+def coded(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of all words, and the number of words of each text. Words lie between ASCII white space; capitals of ASCII do not count."""
+    texts = [t or b"" for t in texts]
+    values = VALUES[np.frombuffer(b" ".join([*texts, b""]), np.uint8)]
+    inside = values != 0
+    starts = np.flatnonzero(inside & ~np.concatenate([[False], inside[:-1]]))
+    ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+    counts = np.diff(np.searchsorted(starts, ends), prepend=0)
     # Short integers: numpy sorts them by their digits.
-    return np.fromiter(map(codes.__getitem__, chain.from_iterable(split)), np.int16, int(counts.sum())), counts
+    return _word_codes(values, starts), counts
 
 
 def neighbours(flat: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -172,10 +207,9 @@ def code_table(documents: DataFrame, key: str = "doc_id", text: str = "text") ->
     """``_key, _h, _codes, _n``: every text once as the codes of its words, two bytes each, written to the shared folder."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = WordCodes()
         for batch in batches:
             for piece in parts(batch, "_text", SLICE_BYTES):
-                flat, counts = coded(as_bytes(piece.column("_text")), codes)
+                flat, counts = coded(as_bytes(piece.column("_text")))
                 raw, ends = flat.tobytes(), 2 * np.cumsum(counts)
                 packed = [raw[e - 2 * n : e] for e, n in zip(ends.tolist(), counts.tolist())]
                 yield pa.record_batch({"_key": piece.column("_key"), "_h": piece.column("_h"), "_codes": pa.array(packed, pa.binary()), "_n": counts})

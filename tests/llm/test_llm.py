@@ -114,11 +114,21 @@ def test_lm_score(spark, texts, odd, empty):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     even, other = docs.where("doc_id % 2 = 0"), docs.where("doc_id % 2 = 1")
     table = lm_score.code_table(even)
-    codes, counts = lm_score.WordCodes(), np.zeros(lm_score.CODES)
+    counts = np.zeros(lm_score.CODES)
+
+    def plain_codes(text):
+        out = []
+        for w in (text or "").encode().lower().split():
+            h = sum((b + 1) * pow(lm_score.BASE, i, 1 << 64) for i, b in enumerate(w)) % (1 << 64)
+            out.append(((h ^ h >> 29) * lm_score.MIX) % (1 << 64) >> 49)
+        return out
+
     for k, t in texts:
         if k % 2 == 0:
-            for w in (t or "").encode().split():
-                counts[codes[w]] += 1
+            np.add.at(counts, plain_codes(t), 1)
+    odd_texts = ["", None, " \t\n", "one", " Ünï  CODE\x0bx\x00y ", "w" * 600_000 + " " * 300_000 + "tail", LONG]
+    flat, n = lm_score.coded([t if t is None else t.encode() for t in odd_texts])
+    assert [x.tolist() for x in np.split(flat, np.cumsum(n)[:-1])] == [plain_codes(t) for t in odd_texts]
     assert (lm_score.frequencies(table) == counts).all()
 
     def mean(state):
@@ -129,7 +139,7 @@ def test_lm_score(spark, texts, odd, empty):
     assert mean(state) > mean(lm_score.Network.start(counts).state) + LM_GAIN
     net, base = lm_score.Network(state), lm_score.BRANCHES
     for r in lm_score.pseudo_likelihood(other.limit(5), state).collect():
-        words = [codes[w] for w in (dict(texts)[r.doc_id] or "").encode().split()]
+        words = plain_codes(dict(texts)[r.doc_id])
         total = 0.0
         for i, c in enumerate(words):
             near = [words[i + s] % lm_score.NEAR if 0 <= i + s < len(words) else lm_score.EDGE for s in lm_score.SIDES]
@@ -140,7 +150,7 @@ def test_lm_score(spark, texts, odd, empty):
                 logits = out[level * base : (level + 1) * base] + given
                 total += logits[digit] - np.log(np.exp(logits).sum())
         assert r.n_tokens == len(words) and r.log_likelihood == pytest.approx(total, rel=1e-3, abs=1e-2)
-    flat, n = lm_score.coded([b"one two three four five"], lm_score.WordCodes())
+    flat, n = lm_score.coded([b"one two three four five"])
     around, every = lm_score.neighbours(flat, n)[:, 2:3], np.arange(lm_score.CODES, dtype=np.int16)
     assert np.exp(net.forward(np.repeat(around, lm_score.CODES, axis=1), every)).sum() == pytest.approx(1, abs=1e-3)
     rows = lm_score.score_documents(odd).collect()
@@ -161,7 +171,7 @@ def test_lm_scores_do_not_depend_on_the_layout(spark):
         assert (states[0] == states[1]).all()
     # A state says the same of a gradient that a finite difference does.
     net = lm_score.Network(states[0].astype(np.float64))
-    flat, n = lm_score.coded([b"some words that stand beside each other in one text"], lm_score.WordCodes())
+    flat, n = lm_score.coded([b"some words that stand beside each other in one text"])
     around = lm_score.neighbours(flat, n)
     moved, squares = lm_score.Network(net.state.copy()), lm_score.Network(np.zeros_like(net.state))
     moved.learn(around, flat, 1.0, squares)
