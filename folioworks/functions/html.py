@@ -35,6 +35,12 @@ def visible(html: Column | str) -> Column:
     return F.regexp_replace(strip_noise_text(html), HIDDEN, "")
 
 
+def article_of(html: Column | str) -> Column:
+    """The first whole ``article`` element, whatever its attributes; a page without one is given back whole."""
+    found = regex_first(html, r"(?is)<article(?:\s[^>]*)?>.*?</article\s*>", 0)
+    return F.when(found != "", found).otherwise(F.col(html) if isinstance(html, str) else html)
+
+
 def tag_text(html: Column | str, tag: str) -> Column:
     """Cleaned text of the first ``tag``, ``""`` when absent."""
     inner = regex_first(html, rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}\s*>")

@@ -221,14 +221,14 @@ def month_heading() -> Column:
 
 
 def month_index_block() -> Column:
-    """HTML block of one post in the month index."""
-    n = F.col("comments_count")
+    """HTML block of one post in the month index; title, date and path are escaped."""
+    path, n = escape_html("archive_path"), F.col("comments_count")
     count = F.when(n > 0, F.concat(F.lit(" ("), n.cast("string"), F.lit(" comments)"))).otherwise(F.lit(""))
     return F.concat(
-        F.lit('    <div class="post">\n        <div class="post-title">'), F.col("title"),
-        F.lit('</div>\n        <div class="post-meta">'), F.col("date"), count,
-        F.lit('</div>\n        <div class="post-links">\n            <a href="'), F.col("archive_path"),
-        F.lit('/raw.html" class="html-link">View HTML</a>\n            <a href="'), F.col("archive_path"),
+        F.lit('    <div class="post">\n        <div class="post-title">'), escape_html("title"),
+        F.lit('</div>\n        <div class="post-meta">'), escape_html("date"), count,
+        F.lit('</div>\n        <div class="post-links">\n            <a href="'), path,
+        F.lit('/raw.html" class="html-link">View HTML</a>\n            <a href="'), path,
         F.lit('/content.md" class="md-link">View Markdown</a>\n        </div>\n    </div>'),
     )
 
@@ -245,10 +245,11 @@ def month_listing(posts: DataFrame) -> DataFrame:
 
 def month_page(posts: DataFrame, title: str) -> DataFrame:
     """The whole month index as ``(place, month, part, date, url, line)``: opening, listing, closing."""
+    name = escape_html(F.lit(title))
     span = posts.agg(F.count(F.lit(1)).alias("n"), F.min("month").alias("lo"), F.max("month").alias("hi"))
     opening = F.concat(
-        F.lit(f'<!DOCTYPE html>\n<html lang="en">\n<head>\n    <meta charset="UTF-8">\n    <title>{title}</title>\n'),
-        F.lit(f'</head>\n<body>\n    <h1>{title}</h1>\n    <div class="stats">\n        Total Posts: '),
+        F.lit('<!DOCTYPE html>\n<html lang="en">\n<head>\n    <meta charset="UTF-8">\n    <title>'), name,
+        F.lit("</title>\n</head>\n<body>\n    <h1>"), name, F.lit('</h1>\n    <div class="stats">\n        Total Posts: '),
         F.col("n").cast("string"),
         F.lit("<br>\n        Date Range: "),
         F.coalesce(F.concat("lo", F.lit(" to "), "hi"), F.lit("N/A")),

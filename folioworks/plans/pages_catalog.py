@@ -241,8 +241,7 @@ MD_ESCAPED_H1 = rf"replace(replace({H1}, '*', '\*'), '_', '\_')"
 )
 def page_markdown(t):
     """Article body: paragraph texts first, then what is left."""
-    article = F.regexp_extract("html", r"(?is)<article>(.*?)</article>", 0)
-    body = t.pages.select("page_id", article.alias("body"))
+    body = t.pages.select("page_id", H.article_of("html").alias("body"))
     return html_to_markdown(body, "body").select("page_id", "markdown")
 
 
@@ -263,6 +262,5 @@ bold AS (
     array_to_string(ps, chr(10) || chr(10)) AS markdown FROM pages JOIN bold USING (page_id)"""
 )
 def page_markdown_in_order(t):
-    article = F.regexp_extract("html", r"(?is)<article>(.*?)</article>", 0)
-    body = t.pages.select("page_id", article.alias("body"))
+    body = t.pages.select("page_id", H.article_of("html").alias("body"))
     return html_to_markdown(body, "body", mode="document_order").select("page_id", "markdown")

@@ -390,11 +390,15 @@ def sorted_within_months(t):
     return O.sort_within_month(P.dated_only(V.posts(t)).select("month", "date", "url"))
 
 
+def escaped(c: str) -> str:
+    return f"""replace(replace(replace(replace(replace({c}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), chr(39), '&#39;')"""
+
+
 @query(
-    f"""WITH {POSTS} SELECT month, 1 AS part, date, url, concat_ws(chr(10), '    <div class="post">', '        <div class="post-title">' || title || '</div>',
-      '        <div class="post-meta">' || date || CASE WHEN comments_count > 0 THEN ' (' || comments_count || ' comments)' ELSE '' END || '</div>',
-      '        <div class="post-links">', '            <a href="' || archive_path || '/raw.html" class="html-link">View HTML</a>',
-      '            <a href="' || archive_path || '/content.md" class="md-link">View Markdown</a>', '        </div>', '    </div>') AS line
+    f"""WITH {POSTS} SELECT month, 1 AS part, date, url, concat_ws(chr(10), '    <div class="post">', '        <div class="post-title">' || {escaped('title')} || '</div>',
+      '        <div class="post-meta">' || {escaped('date')} || CASE WHEN comments_count > 0 THEN ' (' || comments_count || ' comments)' ELSE '' END || '</div>',
+      '        <div class="post-links">', '            <a href="' || {escaped('archive_path')} || '/raw.html" class="html-link">View HTML</a>',
+      '            <a href="' || {escaped('archive_path')} || '/content.md" class="md-link">View Markdown</a>', '        </div>', '    </div>') AS line
     FROM posts WHERE month IS NOT NULL UNION ALL
     SELECT month, 0, '', '', '    <h2>' || strftime(min(day), '%b %Y') || ' (' || count(*) || ' posts)</h2>' FROM posts WHERE month IS NOT NULL GROUP BY month"""
 )

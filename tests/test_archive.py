@@ -115,6 +115,15 @@ def test_local_archive(posts):
     assert out.master_index.first().date == "2011-09-02"
 
 
+def test_month_page_escapes_what_it_shows(spark):
+    row = ("2011-02", "2011-02-02", "u", """<b> & "c" 'd'</b>""", "/2011/2/a&b", 2)
+    posts = spark.createDataFrame([row], "month string, date string, url string, title string, archive_path string, comments_count int")
+    opening, _, block, _ = (r.line for r in R.month_page(posts, "A <&> B").orderBy("place", "part").collect())
+    assert "<title>A &lt;&amp;&gt; B</title>" in opening and "<h1>A &lt;&amp;&gt; B</h1>" in opening
+    assert '<div class="post-title">&lt;b&gt; &amp; &quot;c&quot; &#39;d&#39;&lt;/b&gt;</div>' in block
+    assert 'href="/2011/2/a&amp;b/raw.html"' in block and 'href="/2011/2/a&amp;b/content.md"' in block and "(2 comments)" in block
+
+
 def test_prefix_scan_equals_plain_counting(spark):
     data = [("hot" if i % 3 else None, i * 7 % 1000, i, i % 5 == 0) for i in range(1000)]
     df = spark.createDataFrame(data, "g string, t long, i long, bad boolean")

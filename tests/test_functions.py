@@ -196,3 +196,10 @@ def test_record_json_and_stamp(spark):
     assert packed.first().record == '{"url":"u","title":null,"categories":["a"]}'
     assert X.from_record_json(packed, "url string, title string, categories array<string>").first() == df.first()
     assert re.fullmatch(r"\d{4}-\d\d-\d\d \d\d:\d\d:\d\d", D.stamp(df, "at", text=True).first()["at"])
+
+
+def test_article_of(spark):
+    pages = ['<p>a</p><article class="x"\n id=y><p>b</p></article ><p>c</p>', "<ARTICLE>b</ARTICLE><article>c</article>",
+             "<articles>no</articles><p>whole</p>", "<article>open", "", None]
+    got = spark.createDataFrame(list(enumerate(pages)), "i int, html string").orderBy("i").select(H.article_of("html").alias("x")).collect()
+    assert [r.x for r in got] == ['<article class="x"\n id=y><p>b</p></article >', "<ARTICLE>b</ARTICLE>", *pages[2:]]
