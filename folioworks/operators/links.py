@@ -20,8 +20,13 @@ SYNTAX = {
 
 
 def link_regex(site: Site, syntax: str) -> str:
-    """Pattern of the target of an internal link, without what stands around it."""
-    return "|".join(f"(?<={start})(?:{site.link_pattern}{body})(?={end})" for start, body, end in SYNTAX[syntax])
+    """Pattern of the target of an internal link, without what stands around it.
+
+    Look-behinds of attributes are dozens of trials a character; the look-ahead before them, which every form implies, leaves them to the few
+    places where such a link can begin.
+    """
+    forms = [f"(?<={start})(?:{site.link_pattern}{body})(?={end})" for start, body, end in SYNTAX[syntax]]
+    return forms[0] if len(forms) == 1 else f"(?=[h/])(?={site.link_pattern})(?:{'|'.join(forms)})"
 
 
 def rewrite_links(

@@ -32,9 +32,12 @@ def post_dates(t: Tables) -> DataFrame:
     )
 
 
-def posts(t: Tables) -> DataFrame:
+def posts(t: Tables, dates: DataFrame | None = None) -> DataFrame:
+    """Columns that ``dates`` has beyond those of :func:`post_dates` are kept at the end."""
+    dates = dates or post_dates(t)
+    more = [c for c in dates.columns if c not in ("doc_id", "url", "iso", "long")]
     return (
-        spread(t.documents.join(post_dates(t), "doc_id"), "doc_id")
+        spread(t.documents.join(dates, "doc_id"), "doc_id")
         .selectExpr("*", "substring_index(text, '\\n', 1) AS head", "split(text, '\\n', -1) AS lines")
         .selectExpr(
             "doc_id",
@@ -50,6 +53,7 @@ def posts(t: Tables) -> DataFrame:
             "cast(size(lines) - 1 + if(doc_id % 10 = 0, 1, 0) AS bigint) AS comments_count",
             """transform(slice(lines, 2, greatest(size(lines) - 1, 0)), (x, i) -> struct(string(i + 1) AS id,
                if((i + 1) % 3 = 2, '', source) AS author, if((i + 1) % 2 = 0, '', iso) AS date, x AS content)) AS comments""",
+            *more,
         )
         .withColumns({
             "file_path": post_file_path("url", SITE),
@@ -98,9 +102,10 @@ def linked(t: Tables, html: bool = False) -> DataFrame:
         if html
         else """'\\n[see](', link, ') and [out](http://other.example/blog/a.html) end'"""
     )
-    base = posts(t).withColumn("goal", (F.col("doc_id") * 7 + 3) % n).join(goal, "goal")
+    # Goals are found on narrow rows, so that texts move once.
+    base = posts(t, post_dates(t).withColumn("goal", (F.col("doc_id") * 7 + 3) % n).join(goal, "goal").drop("goal"))
     made = base.selectExpr(
-        "* EXCEPT (goal, goal_url)",
+        "* EXCEPT (goal_url)",
         """concat(CASE WHEN doc_id % 12 = 0 THEN concat('http://site.example/blog/2000/1/1/gone-', doc_id, '.html')
            WHEN doc_id % 9 = 0 THEN replace(goal_url, 'http://', 'http://www.') ELSE goal_url END,
            if(doc_id % 10 = 0, '#c1', '')) AS link""",

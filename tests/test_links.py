@@ -19,3 +19,23 @@ def test_rows_that_share_a_key_keep_their_own_links(spark):
     assert len(got) == 6 and texts.count("x [b](b.md)") == 2
     assert [t for u, t in got if u == a] == ["to [b](b.md) end", "to [c](c.md) end"]
     assert [t for u, t in got if u in (b, c)] == ["none", ""]
+
+
+def test_html_links_are_found_in_time(spark):
+    """A look-behind tried at every character took about ten seconds a million characters and pass."""
+    import time
+
+    from pyspark.sql import functions as F
+
+    goal = "http://site.example/blog/2011/2/1/b.html"
+    text = "where the horse hears of the house, it has its /blogs " * 40_000
+    forms = ((f'<a href="{goal}#c">', '<a href="b.html#c">'), (f"<a HREF = '{goal}'>", "<a HREF = 'b.html'>"), ("<a href=/blog/2011/2/1/b.html>", "<a href=b.html>"))
+    forms += tuple((s, s) for s in (f'<a data-href="{goal}">', f'<a href="{goal}', f"{goal}", "href=/blog/gone.html>"))
+    docs = spark.range(1).select(
+        F.lit("x").alias("url"), F.lit("a.html").alias("file_path"), F.concat(F.repeat(F.lit(text), 1), F.lit("".join(s for s, _ in forms))).alias("content")
+    )
+    urls = spark.createDataFrame([(goal, "b.html")], "url string, file_path string")
+    start = time.perf_counter()
+    (got,) = rewrite_links(docs, urls, SITE, "html").collect()
+    assert got.content == text + "".join(s for _, s in forms)
+    assert time.perf_counter() - start < 12
