@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from folioworks.functions.text import (
     clean_text,
+    let,
     regex_all,
     regex_first,
     strip_noise_text,
@@ -64,7 +65,8 @@ def paragraphs(html: Column | str) -> Column:
 def _value(match: Column, pattern: str, first: int = 1) -> Column:
     """The attribute value of a match, whichever way it is quoted; the groups of the other ways are empty."""
     alone = pattern.replace(IN_TAG, "")  # the match ends with the value, not with its tag
-    return F.concat(*(regex_first(match, alone, first + i) for i in range(3)))
+    double, single, bare = (regex_first(match, alone, first + i) for i in range(3))
+    return let(double, lambda value: F.when(value != "", value).otherwise(F.concat(single, bare)))
 
 
 def hrefs(html: Column | str) -> Column:
@@ -96,11 +98,11 @@ def link_attrs(html: Column | str) -> Column:
 
 def first_list(html: Column | str) -> Column:
     """Source of the first ``ul`` with all lists inside it, ``""`` when there is none; one left open reaches to the end."""
-    parts = F.split(html, r"(?i)(?=</?ul[\s>])")
     none = F.struct(F.lit(0).alias("at"), F.lit(0).alias("depth"), F.lit(0).alias("first"), F.lit(0).alias("last"))
 
     def step(seen: Column, part: Column) -> Column:
-        opens, closes = part.rlike(r"(?i)^<ul[\s>]"), part.rlike(r"(?i)^</ul[\s>]")
+        tag = F.substring(part, 1, 5)
+        opens, closes = tag.rlike(r"(?i)^<ul[\s>]"), tag.rlike(r"(?i)^</ul[\s>]")
         at, depth = seen["at"] + 1, seen["depth"]
         inside = (depth > 0) & (seen["last"] == 0)
         return F.struct(
@@ -110,7 +112,11 @@ def first_list(html: Column | str) -> Column:
             F.when(closes & inside & (depth == 1), at).otherwise(seen["last"]).alias("last"),
         )
 
-    found = F.aggregate(parts, none, step)
-    last = F.when(found["last"] == 0, F.size(parts) + 1).otherwise(found["last"])
-    inner = F.array_join(F.slice(parts, F.greatest(found["first"], F.lit(1)), last - F.greatest(found["first"], F.lit(1))), "")
-    return F.when(found["first"] > 0, inner).otherwise(F.lit(""))
+    def cut(parts: Column, found: Column) -> Column:
+        last = F.when(found["last"] == 0, F.size(parts) + 1).otherwise(found["last"])
+        return F.when(found["first"] > 0, F.array_join(F.slice(parts, found["first"], last - found["first"]), "")).otherwise(F.lit(""))
+
+    return let(
+        F.split(html, r"(?i)(?=</?ul[\s>])"),
+        lambda parts: let(F.aggregate(parts, none, step), lambda found: cut(parts, found)),
+    )

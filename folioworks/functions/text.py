@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from html.entities import html5
 
 from pyspark.sql import Column, DataFrame
@@ -31,6 +32,11 @@ def col_(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def strip_ws(c: Column | str) -> Column:
     """Trim every kind of white space, not just blanks."""
     return F.btrim(col_(c), F.lit(WHITE_SPACE))
@@ -114,26 +120,34 @@ def _character(code: Column) -> Column:
 def unescape_html(c: Column | str, attribute: bool = False) -> Column:
     """Named and numbered entities decoded. In an attribute an old name without its semicolon stays as it is
     before ``=``, a letter or a digit, so that addresses like ``?a=1&copy=2`` keep their parameters."""
-    text, names = col_(c), F.from_json(F.lit(NAMED), "map<string,string>")
+    names = F.from_json(F.lit(NAMED), "map<string,string>")
     old = f"^(?:{OLD})" + ("(?![=A-Za-z0-9])" if attribute else "")
 
     def decoded(part: Column) -> Column:
+        def rest(head: Column) -> Column:
+            return F.substr(part, F.length(head) + 1)
+
+        def numbered(number: Column) -> Column:
+            hexes, digits = regex_first(number, "[xX]0*([0-9a-fA-F]+)"), regex_first(number, "^#([0-9]+)")
+            hexed = F.when(F.length(hexes) <= 8, F.conv(F.when(F.length(hexes) <= 8, hexes), 16, 10).try_cast("bigint"))
+            code = F.when(digits != "", digits.try_cast("bigint")).otherwise(hexed)
+            return F.when(number != "", F.concat(let(code, _character), rest(number))).otherwise(let(full, named))
+
+        def named(full: Column) -> Column:
+            value = F.when(full != "", F.element_at(names, full))
+            return let(value, lambda v: F.when(v.isNotNull(), F.concat(v, rest(full))).otherwise(let(short, unclosed)))
+
+        def unclosed(short: Column) -> Column:
+            return F.when(short != "", F.concat(F.element_at(names, short), rest(short))).otherwise(F.concat(F.lit("&"), part))
+
         full, short = regex_first(part, "^[A-Za-z][A-Za-z0-9]*;", 0), regex_first(part, old, 0)
-        number = regex_first(part, "^#(?:[xX][0-9a-fA-F]+|[0-9]+);?", 0)
-        hexes, digits = regex_first(number, "[xX]0*([0-9a-fA-F]+)"), regex_first(number, "^#([0-9]+)")
-        hexed = F.when(F.length(hexes) <= 8, F.conv(F.when(F.length(hexes) <= 8, hexes), 16, 10).try_cast("bigint"))
-        code = F.when(digits != "", digits.try_cast("bigint")).otherwise(hexed)
-        rest = lambda head: F.substr(part, F.length(head) + 1)
-        return (
-            F.when(number != "", F.concat(_character(code), rest(number)))
-            .when((full != "") & F.element_at(names, full).isNotNull(), F.concat(F.element_at(names, full), rest(full)))
-            .when(short != "", F.concat(F.element_at(names, short), rest(short)))
-            .otherwise(F.concat(F.lit("&"), part))
-        )
-
-    parts = F.split(text, "&")
-    out = F.concat(parts[0], F.array_join(F.transform(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), decoded), ""))
-    return F.when(F.contains(text, F.lit("&")), out).otherwise(text)
+        return let(regex_first(part, "^#(?:[xX][0-9a-fA-F]+|[0-9]+);?", 0), numbered)
+
+    def joined(parts: Column) -> Column:
+        coded = F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))
+        return F.concat(parts[0], F.array_join(F.transform(coded, decoded), ""))
+
+    return let(col_(c), lambda text: F.when(F.contains(text, F.lit("&")), let(F.split(text, "&"), joined)).otherwise(text))
 
 
 def escape_quotes(c: Column | str) -> Column:
@@ -152,10 +166,14 @@ def strip_tags(c: Column | str) -> Column:
 
 def strip_noise_text(c: Column | str) -> Column:
     """Drop scripts and CDATA; the CDATA patterns are tried only on text that mentions it."""
-    bare = rest = F.regexp_replace(col_(c), SCRIPT, "")
-    for pattern in CDATA_PATTERNS:
-        rest = F.regexp_replace(rest, pattern, "")
-    return F.when(F.contains(col_(c), F.lit("CDATA")), rest).otherwise(bare)
+
+    def dropped(text: Column) -> Column:
+        bare = rest = F.regexp_replace(text, SCRIPT, "")
+        for pattern in CDATA_PATTERNS:
+            rest = F.regexp_replace(rest, pattern, "")
+        return F.when(F.contains(text, F.lit("CDATA")), rest).otherwise(bare)
+
+    return let(col_(c), dropped)
 
 
 def parse_signature(c: Column | str) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from folioworks.functions import html as H
 from folioworks.functions.dates import parse_archive_date
-from folioworks.functions.text import clean_text, normalise_categories, parse_count, parse_signature, strip_noise_text, strip_token
+from folioworks.functions.text import clean_text, let, normalise_categories, parse_count, parse_signature, strip_noise_text, strip_token
 from folioworks.functions.urls import resolve_url
 from folioworks.operators.htmltree import Page, compile_selector, select, to_markdown
 from folioworks.operators.markdown import space_blocks
@@ -243,11 +243,13 @@ def extract_links(pages: DataFrame, section: str | None = None, key: str = "page
         source = F.col(html)
     else:
         heading = rf"(?is)^.*?<h3(?:\s[^>]*)?>\s*\Q{section}\E\s*</h3\s*>"
-        after = F.when(F.col(html).rlike(heading), F.regexp_replace(html, heading, "")).otherwise(F.lit(""))
+        # A heading that was found leaves a shorter text.
+        after = let(F.regexp_replace(html, heading, ""), lambda x: F.when(F.length(x) < F.length(html), x).otherwise(F.lit("")))
         # Up to the next heading of the same rank the first list wins, whether wrapped in a div or not.
         scope = F.regexp_replace(after, r"(?is)<h3[\s>].*$", "")
         source = H.first_list(scope)
-    links = pages.select(key, "url", F.posexplode(H.anchors(source)).alias("pos", "link"))
+    # The outer form, since before the inner one the optimiser tests the size of the list, which finds all links a second time.
+    links = pages.select(key, "url", F.posexplode_outer(H.anchors(source)).alias("pos", "link")).where("pos IS NOT NULL")
     return links.select(
         key, "url", "pos", "link.href", "link.title", resolve_url(F.col("url"), F.col("link.href")).alias("target")
     )

@@ -135,3 +135,14 @@ def test_manifest(spark):
     assert [r.href for r in bad.collect()] == ["/blog/NaN/NaN/NaN/n.html"]
     none, _ = build_manifest(pages, Site(), "No such section")
     assert none.count() == 0
+
+
+def test_section_links_are_found_once(spark):
+    """The page is read once for its links, and not again for each use of a step."""
+    page = '<h3>A</h3><ul><li><a href="/z">z</a></ul><h3 x> B </h3><div><ul><li><a href="/blog/a?x=1&copy=2">1 &lt; 2 &amp;copy</a><ul><li><a href=\'/b\'>&#60;&Eacute&nosuch;</a></ul></ul></div>'
+    pages = spark.createDataFrame([(1, "http://s.example/i/", page), (2, "u", None), (3, "u", "<h3>C</h3>")], "page_id long, url string, html string")
+    links = E.extract_links(pages, "B")
+    got = [(r.page_id, r.pos, r.href, r.title) for r in links.orderBy("pos").collect()]
+    assert got == [(1, 0, "/blog/a?x=1&copy=2", "1 < 2 &copy"), (1, 1, "/b", "<\u00c9&nosuch;")]
+    plan = links._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1 and plan.count("regexp_replace(html") == 1
