@@ -26,6 +26,22 @@ def scan_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def packed(files: DataFrame, per_task: int = 1000) -> DataFrame:
+    """A scan of small files with up to about ``per_task`` of them in a task, none left out.
+
+    Spark reckons every file as ``spark.sql.files.openCostInBytes``, so it gives a task a few small files only; each of these tasks costs more
+    than its files and, before a shuffle, leaves a block for every task behind it. Files of that size or more stay as dealt.
+    """
+    spark = files.sparkSession
+    most, least = (
+        spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(f"spark.sql.files.{name}"))
+        for name in ("maxPartitionBytes", "openCostInBytes")
+    )
+    parts = files.rdd.getNumPartitions()
+    wanted = max(2 * spark.sparkContext.defaultParallelism, -(-parts * max(most // max(least, 1), 1) // per_task))
+    return files.coalesce(wanted) if wanted < parts else files
+
+
 def scan_page_files(spark: SparkSession, path: str, glob: str = "*.html", base_url: str | None = None) -> DataFrame:
     """Saved pages, one file per page: ``(page_id, url, html)``.
 
@@ -37,7 +53,7 @@ def scan_page_files(spark: SparkSession, path: str, glob: str = "*.html", base_u
     top = qualified(spark, path).rstrip("/") + "/"
     place = F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B"))
     below = F.substring(place, F.locate(top, place) + F.lit(len(top)), F.length(place))
-    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=glob)
+    files = packed(spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=glob))
     files = files.select(F.col("_metadata.file_path").alias("_file"), below.alias("_below"), F.col("value").alias("html"))
     number = F.conv(F.substring(F.sha2("_below", 256), 1, 15), 16, 10).cast("bigint")
     url = F.concat(F.lit(base_url.rstrip("/") + "/"), "_below") if base_url else F.col("_file")
@@ -140,7 +156,7 @@ def scan_posts(spark: SparkSession, path: str) -> DataFrame:
 def scan_markdown_posts(spark: SparkSession, folder: str) -> DataFrame:
     """Markdown files of one directory: ``(file_path, text)``, the path as ``<folder name>/<file>``."""
     name = folder.rstrip("/").rsplit("/", 1)[-1]
-    return spark.read.text(folder, wholetext=True, pathGlobFilter="*.md").select(
+    return packed(spark.read.text(folder, wholetext=True, pathGlobFilter="*.md")).select(
         F.concat(F.lit(name + "/"), F.url_decode(F.regexp_replace(F.col("_metadata.file_name"), r"\+", "%2B"))).alias("file_path"),
         F.col("value").alias("text"),
     )

@@ -314,6 +314,20 @@ def test_page_files(spark, tmp_path):
     assert [r.html for r in readers.scan_page_files(spark, str(tmp_path)).collect()] == ["<p>x</p>\n<p>y</p>"]
 
 
+def test_small_files_share_tasks(spark, tmp_path):
+    for i in range(120):
+        (tmp_path / f"p{i}.html").write_text(str(i))
+        (tmp_path / f"p{i}.md").write_text(str(i))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")
+    try:
+        for files, text in ((readers.scan_page_files(spark, str(tmp_path)), "html"), (readers.scan_markdown_posts(spark, str(tmp_path)), "text")):
+            assert files.rdd.getNumPartitions() < 20
+            assert sorted(r[text] for r in files.collect()) == sorted(map(str, range(120)))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_page_files_keep_their_numbers(spark, tmp_path):
     """Numbers depend on the path below the folder alone: other pages and another place of the folder do not change them."""
     for place, names in (("one", ("a b+c é.html", "sub/x.html")), ("two/two", ("a b+c é.html", "new.html", "sub/x.html", "sub/two/x.html"))):
