@@ -24,6 +24,8 @@ def _bucket(term: Column, buckets: int) -> Column:
 
 def write_term_index(postings: DataFrame, path: str, key: str = "url", block: int = BLOCK, buckets: int = BUCKETS) -> None:
     """Write ``(term, key, n)`` rows, one per term and document, as an index under ``path``."""
+    # Written once, as they are read twice: to count the documents of a term and to deal them to blocks.
+    postings = materialise(postings.select("term", key, "n"), "postings")
     # Only terms of more than one block need to know how many there are; written, so that Spark can split a frequent term.
     wide = postings.groupBy("term").agg(F.ceil(F.count(F.lit(1)) / block).alias("blocks")).where("blocks > 1")
     wide = materialise(wide, "wide-terms")

@@ -509,3 +509,19 @@ def test_wanted_pages_moves_no_source_between_buckets(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
         for name in tables:
             spark.sql(f"DROP TABLE {name}")
+
+
+def test_postings_are_made_once_for_an_index(spark, tmp_path):
+    from folioworks.operators import postings as N
+
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def counted(n):
+        made.add(1)
+        return n
+
+    rows = spark.range(40).select(F.concat(F.lit("t"), F.col("id") % 2).alias("term"), F.col("id").alias("doc"), counted("id").alias("n"))
+    N.write_term_index(rows.where("n >= 0"), str(tmp_path / "index"), "doc", block=8, buckets=4)
+    assert made.value == 40
+    assert N.unpacked(N.scan_term(spark, str(tmp_path / "index"), "t1", 4), "doc").count() == 20
