@@ -305,9 +305,8 @@ def rewritten_table(t):
 def rewritten_archive(t):
     """The stored archive after its links were rewritten in place, all of it read back."""
     path = fresh_path(t.spark, "posts")
-    linked = V.linked(t)
-    writers.write_posts(linked.withColumnRenamed("month", "label"), path)
-    pairs = L.rewrite_markdown_links(linked, md_map(t), SITE, into="rewritten")
+    writers.write_posts(V.linked(t).withColumnRenamed("month", "label"), path)
+    pairs = L.rewrite_markdown_links(readers.scan_posts(t.spark, path), md_map(t), SITE, into="rewritten")
     writers.update_archive(pairs.select("url", "content", "rewritten"), path)
     return readers.scan_posts(t.spark, path).select("url", F.col("label").alias("month"), F.md5("content").alias("digest"))
 

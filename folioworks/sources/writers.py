@@ -175,8 +175,8 @@ def update_archive(pairs: DataFrame, path: str, before: str = "content", after:
     """Put the changed texts of ``pairs`` into the archive that :func:`write_posts` wrote to ``path``.
 
     Only the month partitions that hold a changed document are written again, with their other rows as they were; the files of all other
-    partitions stay. A row is changed when key and text are those of ``pairs``; rows that repeat both change alike. The new partitions are
-    written to the shared folder first, so that no file is read after it was replaced.
+    partitions stay. A row is changed when key and text are those of ``pairs``, which may have been read from the archive itself; rows that
+    repeat both change alike. A dynamic overwrite keeps its files aside until all of them are written, so no file is read after it was replaced.
     """
     spark = pairs.sparkSession
     month = ["year", "month"]
@@ -189,6 +189,5 @@ def update_archive(pairs: DataFrame, path: str, before: str = "content", after:
     months = keyed.select("_key", "_hash", *month).join(new.select("_key", "_hash"), ["_key", "_hash"], "left_semi").select(*month).distinct()
     months = materialise(months, "changed-months")
     rows = keyed.join(months, month, "left_semi").join(new, ["_key", "_hash"], "left")
-    rows = rows.withColumn(before, F.coalesce("_new", before)).select(*archive.columns)
-    rows = materialise(rows, "changed-partitions").hint("rebalance", *month)
+    rows = rows.withColumn(before, F.coalesce("_new", before)).select(*archive.columns).hint("rebalance", *month)
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*month).parquet(path)

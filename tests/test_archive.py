@@ -525,3 +525,22 @@ def test_postings_are_made_once_for_an_index(spark, tmp_path):
     N.write_term_index(rows.where("n >= 0"), str(tmp_path / "index"), "doc", block=8, buckets=4)
     assert made.value == 40
     assert N.unpacked(N.scan_term(spark, str(tmp_path / "index"), "t1", 4), "doc").count() == 20
+
+
+def test_archive_rewritten_from_its_own_texts(spark, tmp_path):
+    """Pairs read from the archive itself; changed months are not written a second time beside it."""
+    from pathlib import Path
+
+    from folioworks.session import shared_dir
+
+    path = str(tmp_path / "posts")
+    urls = [f"http://site.example/blog/2011/{m}/1/{n}.html" for m in (1, 2) for n in "ab"]
+    writers.write_posts(spark.createDataFrame([(u, f"text {u}") for u in urls], "url string, content string"), path)
+    shared = Path(shared_dir(spark).removeprefix("file://"))
+    before = set(shared.glob("changed-partitions-*"))
+    new = F.when(F.col("url").like("%/1/1/%"), F.lit("new")).otherwise(F.col("content"))
+    pairs = readers.scan_posts(spark, path).select("url", "content", new.alias("rewritten"))
+    writers.update_archive(pairs, path)
+    got = {r.url: r.content for r in readers.scan_posts(spark, path).collect()}
+    assert got == {u: "new" if "/1/1/" in u else f"text {u}" for u in urls}
+    assert set(shared.glob("changed-partitions-*")) == before
