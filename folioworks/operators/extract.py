@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 from collections.abc import Mapping
-from functools import partial
+from functools import lru_cache, partial
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -46,16 +47,19 @@ def _schema(fields):
     return T.StructType([T.StructField(name, _field_type(mode)) for name, (_, mode) in fields.items()])
 
 
+_selector = lru_cache(maxsize=256)(compile_selector)
+
+
 def _compiled(fields):
     return [
-        (name, compile_selector(sel) if sel else None, _compiled(mode) if isinstance(mode, Mapping) else mode)
+        (name, _selector(sel) if sel else None, _compiled(mode) if isinstance(mode, Mapping) else mode)
         for name, (sel, mode) in fields.items()
     ]
 
 
 def _read(root, find, fields):
     """Values of ``fields``; ``find`` gives the matches of a selector below ``root``."""
-    out = {}
+    out, first = {}, {}  # first matches by selector, looked up once until a field changes the tree
     for name, groups, mode in fields:
         if isinstance(mode, list):
             out[name] = [_read(n, partial(select, n), mode) for n in find(groups)]
@@ -63,7 +67,9 @@ def _read(root, find, fields):
         if mode == "texts":
             out[name] = [n.text() for n in find(groups)]
             continue
-        node = root if groups is None else next(iter(find(groups)), None)
+        if groups is not None and id(groups) not in first:
+            first[id(groups)] = next(iter(find(groups)), None)
+        node = root if groups is None else first[id(groups)]
         if node is None:
             out[name] = None
         elif mode == "text":
@@ -72,6 +78,7 @@ def _read(root, find, fields):
             out[name] = node.html()
         elif mode == "markdown":
             out[name] = dict(zip(("text", "spaced"), to_markdown(node)))
+            first.clear()
         else:
             out[name] = node.attrs.get(mode.removeprefix("attr:"))
     return out
@@ -93,14 +100,20 @@ def html_fields(html: Column | str, fields: Mapping) -> Column:
     @F.arrow_udf(schema)
     def run(pages: pa.Array) -> pa.Array:
         sys.setrecursionlimit(50_000)
-        rows = []
-        for page in pages:
-            try:
-                tree = Page(page.as_py())
-                rows.append(_read(tree.root, tree.select, plan))
-            except Exception as problem:  # one bad page must not fail the batch
-                rows.append({"error": f"{type(problem).__name__}: {problem}"})
-        return pa.array(rows, type=arrow)
+        rows, collects = [], gc.isenabled()
+        gc.disable()  # trees are taken apart here; searching all rows of the batch for cycles again and again costs a sixth
+        try:
+            for page in pages:
+                try:
+                    tree = Page(page.as_py())
+                    rows.append(_read(tree.root, tree.select, plan))
+                    tree.free()
+                except Exception as problem:  # one bad page must not fail the batch
+                    rows.append({"error": f"{type(problem).__name__}: {problem}"})
+            return pa.array(rows, type=arrow)
+        finally:
+            if collects:
+                gc.enable()
 
     # Nondeterministic keeps the optimiser from running the parse again in a pushed-down filter.
     return run.asNondeterministic()(F.col(html) if isinstance(html, str) else html)

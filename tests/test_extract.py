@@ -137,6 +137,29 @@ def test_manifest(spark):
     assert none.count() == 0
 
 
+def test_plain_tags_build_the_tree_of_the_standard_parser(monkeypatch):
+    import re
+
+    from folioworks.operators import htmltree
+
+    pages = (
+        '<DIV class="a b a"><p id="x">1<p>2</P><br><img src="u"/>&amp;<a href="?a=1&amp;b">t</a></div></div>z',
+        '<script>if (a < b) "<p>"</script><style><b></style><title>a<b>c</title><textarea><p></textarea><p  class="q">',
+        "<ul><li>1<li>2<ul><li>3</ul></ul><table><tr><td>a<td>b</table><p a=\"1\" a=\"2\">x</p ><b/>y</x>",
+        '<a href="1\n2" title="<">k</a><p class="">e</p><',
+    )
+
+    def seen():
+        built = [htmltree.Page(p) for p in pages]
+        return [(b.root.html(), {k: [n.html() for n in v] for k, v in b.lists.items()}) for b in built]
+
+    fast = seen()
+    never = re.compile("(?!)")
+    monkeypatch.setattr(htmltree, "PLAIN_OPEN", never)
+    monkeypatch.setattr(htmltree, "PLAIN_CLOSE", never)
+    assert fast == seen()
+
+
 def test_section_links_are_found_once(spark):
     """The page is read once for its links, and not again for each use of a step."""
     page = '<h3>A</h3><ul><li><a href="/z">z</a></ul><h3 x> B </h3><div><ul><li><a href="/blog/a?x=1&copy=2">1 &lt; 2 &amp;copy</a><ul><li><a href=\'/b\'>&#60;&Eacute&nosuch;</a></ul></ul></div>'
