@@ -97,7 +97,8 @@ def near_pairs(prints: DataFrame, distance: int) -> DataFrame:
     viable = F.lit(False)
     for i in reversed(range(m)):  # only the first start that holds counts, so no pair comes twice
         viable = F.when(chain(i), F.col("start") == i).otherwise(viable)
-    pairs = index.join(probe, ["start", "at"]).where((F.col("u") < F.col("v")) & viable)
+    # Spark takes neither side for larger than ``prints``, as an explode counts for nothing, and would send the probes to the driver.
+    pairs = index.hint("merge").join(probe, ["start", "at"]).where((F.col("u") < F.col("v")) & viable)
     return pairs.where(F.bit_count(apart) <= distance).select("u", "v")
 
 

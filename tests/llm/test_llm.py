@@ -110,6 +110,15 @@ def test_pigeonring_finds_every_pair(spark):
         assert got == [(a, b) for i, a in enumerate(signed) for b in signed[i + 1 :] if ((a ^ b) & (2**64 - 1)).bit_count() <= distance]
 
 
+def test_probes_of_prints_are_never_broadcast(spark):
+    """The 68 probes of a fingerprint come out of an explode, which Spark sizes as if it made one row of one."""
+    prints = spark.range(5000).select(F.xxhash64("id").alias("fp"))
+    pairs = simhash.near_pairs(prints, 3)
+    assert pairs.collect() is not None
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_lm_score(spark, texts, odd, empty):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     even, other = docs.where("doc_id % 2 = 0"), docs.where("doc_id % 2 = 1")
