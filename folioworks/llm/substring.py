@@ -134,13 +134,14 @@ def repeated_spans(documents: DataFrame, k: int = 20, m: int = 8, key: str = "do
     classes = runs.groupBy("h", "run").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("occ"), F.min("n").alias("size"))
     classes = materialise(classes, "run-classes")
     again = classes.where("occ > 1").select("h", "run", "first", "occ")
-    placed = materialise(runs.join(again, ["h", "run"]).select(*PLACE, "n", "first", "occ"), "repeated-runs")
+    # Rows with places unpack to ten times their files and more, by whose size Spark would broadcast them: such joins sort and merge.
+    placed = materialise(runs.join(again.hint("merge"), ["h", "run"]).select(*PLACE, "n", "first", "occ"), "repeated-runs")
 
     # A class goes on the path of the class before it if all occurrences of both are neighbours.
     ahead = placed.select(
         "doc", "v", (F.col("start") + F.col("n")).alias("start"), F.col("n").alias("n_a"), F.col("first").alias("first_a"), F.col("occ").alias("occ_a")
     )
-    meets = ahead.alias("a").join(
+    meets = ahead.alias("a").hint("merge").join(
         placed.alias("b"),
         F.col("a.doc").eqNullSafe(F.col("b.doc")) & (F.col("a.v") == F.col("b.v")) & (F.col("a.start") == F.col("b.start")),
     )
@@ -175,9 +176,9 @@ def repeated_spans(documents: DataFrame, k: int = 20, m: int = 8, key: str = "do
     # Written first, so that Spark can split a window that very many classes share.
     firsts = one.groupBy("digest").agg(F.min(place).alias("source"), F.count(F.lit(1)).alias("times")).where("times > 1")
     firsts = materialise(firsts.drop("times"), "first-windows")
-    single = one.join(firsts, "digest").where(~F.col("source").eqNullSafe(place)).select(*PLACE, "n", "source", "digest")
+    single = one.hint("merge").join(firsts, "digest").where(~F.col("source").eqNullSafe(place)).select(*PLACE, "n", "source", "digest")
     proof = digests.where("not each").select(F.struct(*PLACE).alias("source"), "n", "digest")
-    return spans.join(proof, ["source", "n"]).select(*PLACE, "n", "source", "digest").union(single)
+    return spans.hint("merge").join(proof, ["source", "n"]).select(*PLACE, "n", "source", "digest").union(single)
 
 
 def _digests(rows: DataFrame, k: int) -> DataFrame:

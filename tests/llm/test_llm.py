@@ -375,6 +375,13 @@ def test_substring(spark, texts, odd, empty):
     assert substring.remove_repeats(empty).count() == 0
 
 
+def test_rows_with_places_are_never_broadcast(spark, odd):
+    found = substring.repeated_spans(odd, 20)
+    assert found.count() > 0
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_quality(spark, odd, empty):
     rnd = random.Random(5)
     vocabulary = [f"word{i}" for i in range(300)]
