@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import os
+import re
+from collections import deque
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioworks.functions.text import col_
 from folioworks.operators.windows import prefix_scan
-from folioworks.session import qualified
+from folioworks.session import materialise, qualified
 
 MANIFEST_SCHEMA = (
     "extraction_date string, total_posts bigint, source_url string, "
@@ -42,6 +49,144 @@ def packed(files: DataFrame, per_task: int = 1000) -> DataFrame:
     return files.coalesce(wanted) if wanted < parts else files
 
 
+# Rows and bytes of a batch of files, directories dealt out at least before tasks walk them, files read by a task.
+BATCH_FILES, BATCH_BYTES, DEALT, FILES_PER_TASK = 500, 4 << 20, 256, 1000
+# What Java leaves as it is in the path of a URI; other ASCII characters are escaped.
+ESCAPED = re.compile(r"[\x00-\x7f]")
+PLAIN = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_.!~*'():@&=+$,;/")
+
+
+def _escaped(path: str) -> str:
+    return ESCAPED.sub(lambda m: m[0] if m[0] in PLAIN else f"%{ord(m[0]):02X}", path)
+
+
+def _store(root: str) -> tuple[pafs.FileSystem, str]:
+    return (pafs.LocalFileSystem(), root) if root.startswith("/") else pafs.FileSystem.from_uri(root)
+
+
+def _is_folder(root: str) -> bool:
+    """Whether Arrow knows the store and finds a folder there."""
+    try:
+        store, top = _store(root)
+        return store.get_file_info(top).type == pafs.FileType.Directory
+    except (pa.ArrowException, OSError, ValueError):
+        return False
+
+
+def _hidden(name: str) -> bool:
+    """Names that Spark leaves out of a listing."""
+    return name.startswith(".") or name.endswith("._COPYING_") or name.startswith("_") and "=" not in name
+
+
+def _entries(store: pafs.FileSystem, folder: str) -> Iterator[tuple[str, bool, int]]:
+    if isinstance(store, pafs.LocalFileSystem):  # one entry at a time, however many there are
+        with os.scandir(folder) as found:
+            for e in found:
+                yield e.name, e.is_dir(), 0 if e.is_dir() else e.stat().st_size
+    else:
+        for f in store.get_file_info(pafs.FileSelector(folder)):
+            yield f.base_name, f.type == pafs.FileType.Directory, -1 if f.size is None else f.size
+
+
+def _walked(root: str, folders: Iterable[str], name: str, most: int | None = None) -> Iterator[tuple[str, bool, int]]:
+    """``(path below root, whether a folder, bytes)`` of all files whose name matches; with ``most`` the walk ends when so many folders wait,
+    and gives these, too."""
+    store, top = _store(root)
+    wanted, waiting = re.compile(name, re.DOTALL), deque(folders)
+    while waiting and (most is None or len(waiting) < most):
+        folder = waiting.popleft()
+        for entry, inner, size in _entries(store, f"{top}/{folder}".rstrip("/")):
+            path = f"{folder}/{entry}" if folder else entry
+            if inner and not _hidden(entry):
+                waiting.append(path)
+            elif not inner and wanted.fullmatch(entry) and not _hidden(entry):
+                yield path, False, size
+    yield from ((path, True, 0) for path in waiting)
+
+
+LISTED = "below string, folder boolean, size bigint"
+
+
+def _batches(rows: Iterable[tuple[str, bool, int]]) -> Iterator[pa.RecordBatch]:
+    held: list[tuple[str, bool, int]] = []
+
+    def made() -> pa.RecordBatch:
+        kinds = (pa.string(), pa.bool_(), pa.int64())
+        return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*held), kinds)], ["below", "folder", "size"])
+
+    for row in rows:
+        held.append(row)
+        if len(held) == 10_000:
+            yield made()
+            held.clear()
+    if held:
+        yield made()
+
+
+def listed_files(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """``(below, size)`` of all files below ``root`` whose name matches the pattern, written to the shared folder.
+
+    One task walks the first levels until there are folders to deal out, then many tasks walk those. No list of files is held in memory.
+    """
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _ in batches:
+            yield from _batches(_walked(root, [""], name, DEALT))
+
+    def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from _batches(_walked(root, batch.column("below").to_pylist(), name))
+
+    begun = materialise(spark.range(0, 1, 1, 1).mapInArrow(first, LISTED), "file-list-begun")
+    dealt = begun.where("folder").select("below").repartition(4 * spark.sparkContext.defaultParallelism, F.xxhash64("below"))
+    found = begun.where("not folder").unionByName(dealt.mapInArrow(rest, LISTED))
+    return materialise(found.select("below", "size"), "file-list")
+
+
+def whole_files(spark: SparkSession, path: str, glob: str) -> DataFrame:
+    """Every file below a folder whose name matches ``glob``: ``(file, value)``, the file as Spark names it in ``_metadata.file_path`` and its text.
+
+    Files are listed and read by tasks, some thousand small ones each: Spark's own list lies in the driver's memory, about a kilobyte a
+    file, and its readers take milliseconds to open one. A store that Arrow does not know, or a path that is no folder, is left to Spark.
+    """
+    root = qualified(spark, path).rstrip("/") or "/"
+    if not _is_folder(root):
+        files = packed(spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=glob))
+        return files.select(F.col("_metadata.file_path").alias("file"), "value")
+    found = listed_files(spark, root, spark._jvm.org.apache.hadoop.fs.GlobPattern(glob).compiled().pattern())
+    found = found.where("size <> 0")  # Spark reads no empty file
+    n, size = found.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    most = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    tasks = max(2 * spark.sparkContext.defaultParallelism, -(-n // FILES_PER_TASK), -(-size // most))
+    where = spark._jvm.org.apache.hadoop.fs.Path(root)
+    top_uri = ("file:" + _escaped(root) if root.startswith("/") else where.toUri().toString()).rstrip("/")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, top = _store(root)
+        names: list[str] = []
+        texts: list[bytes] = []
+
+        def made() -> pa.RecordBatch:
+            # Bytes that are no UTF-8 pass as they are, as Spark's reader lets them.
+            values = pa.array(texts, pa.binary()).cast(pa.string(), safe=False)
+            return pa.record_batch([pa.array(names, pa.string()), values], ["file", "value"])
+
+        held = 0
+        for batch in batches:
+            for below in batch.column("below").to_pylist():
+                with store.open_input_stream(f"{top.rstrip('/')}/{below}") as stream:
+                    texts.append(stream.read())
+                names.append(f"{top_uri}/{_escaped(below)}")
+                held += len(texts[-1])
+                if held >= BATCH_BYTES or len(names) == BATCH_FILES:
+                    yield made()
+                    held = names.clear() or texts.clear() or 0
+        if names:
+            yield made()
+
+    return found.select("below").repartition(tasks, F.xxhash64("below")).mapInArrow(read, "file string, value string")
+
+
 def scan_page_files(spark: SparkSession, path: str, glob: str = "*.html", base_url: str | None = None) -> DataFrame:
     """Saved pages, one file per page: ``(page_id, url, html)``.
 
@@ -132,9 +277,7 @@ def scan_post_archive(spark: SparkSession, root: str) -> tuple[DataFrame, DataFr
 
     A category may be a string or an object, of which the name counts; an object without one stays as its text.
     """
-    files = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="data.json").select(
-        archive_relative_dir(F.col("_metadata.file_path"), root).alias("archive_path"), F.col("value").alias("source")
-    )
+    files = whole_files(spark, root, "data.json").select(archive_relative_dir("file", root).alias("archive_path"), F.col("value").alias("source"))
     shape = POST_SCHEMA + ", _corrupt_record string"
     raw = files.withColumn("r", F.from_json("source", shape, {"mode": "PERMISSIVE"})).select("archive_path", "source", "r.*")
     good = F.col("_corrupt_record").isNull()

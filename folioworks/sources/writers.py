@@ -96,14 +96,15 @@ def export_files(df: DataFrame, root: str, path: str = "file_path", text: str =
 
     def save(part) -> None:
         store, top = pafs.FileSystem.from_uri(root) if ":/" in root else (pafs.LocalFileSystem(), root)
-        out = None
+        out, made = None, None
         for row in part:
             if out is None or row[0] != out[0]:
                 _finish(store, out)
                 if {".", ".."} & set(row[0].split("/")):
                     raise ValueError(f"path {row[0]!r} leaves the folder")
                 target = f"{top}/{row[0].lstrip('/')}"
-                store.create_dir(target.rsplit("/", 1)[0], recursive=True)
+                if made != (made := target.rsplit("/", 1)[0]):  # files of one folder come one after another
+                    store.create_dir(made, recursive=True)
                 draft = f"{target}.{uuid.uuid4().hex}"
                 out = (row[0], target, draft, store.open_output_stream(draft))
             out[3].write(row[1].encode())

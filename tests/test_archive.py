@@ -341,6 +341,24 @@ def test_page_files_keep_their_numbers(spark, tmp_path):
     assert all(0 <= r.page_id < 2**60 for r in two.values())
 
 
+def test_files_are_listed_and_read_by_tasks(spark, tmp_path, monkeypatch):
+    """Every file below a folder comes as Spark's own reader gives it, though no list of the files is made in the driver."""
+    names = [f"{'abc'[i % 3]}/d{i % 40}/p {i}%+é'#.html" for i in range(300)] + ["top.html", "_no/x.html", ".no.html", "a/_y.html", "k=v/_z=1.html", "a/x.htm"]
+    for i, name in enumerate(names):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(b"" if i == 5 else b"\xff\r\n" + str(i).encode() * i)
+    (tmp_path / "l.html").symlink_to(tmp_path / "top.html")
+    own = spark.read.text(str(tmp_path), wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.html")
+    want = sorted(map(tuple, own.select("_metadata.file_path", F.hex("value")).collect()))
+    for dealt in (1, 20):  # folders go to tasks at once or after some levels
+        monkeypatch.setattr(readers, "DEALT", dealt)
+        got = readers.whole_files(spark, str(tmp_path), "*.html")
+        assert not any(f.endswith(".html") for f in got.inputFiles())
+        assert sorted(map(tuple, got.select("file", F.hex("value")).collect())) == want
+    (tmp_path / "none").mkdir()
+    assert readers.whole_files(spark, str(tmp_path / "none"), "*.html").count() == 0
+
+
 def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
     from folioworks.operators.joins import remaining
 
