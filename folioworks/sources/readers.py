@@ -196,10 +196,9 @@ def scan_page_files(spark: SparkSession, path: str, glob: str = "*.html", base_u
     page by its URL as well, so such a pair stays two pages.
     """
     top = qualified(spark, path).rstrip("/") + "/"
-    place = F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B"))
+    place = F.url_decode(F.regexp_replace(F.col("file"), r"\+", "%2B"))
     below = F.substring(place, F.locate(top, place) + F.lit(len(top)), F.length(place))
-    files = packed(spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=glob))
-    files = files.select(F.col("_metadata.file_path").alias("_file"), below.alias("_below"), F.col("value").alias("html"))
+    files = whole_files(spark, path, glob).select(F.col("file").alias("_file"), below.alias("_below"), F.col("value").alias("html"))
     number = F.conv(F.substring(F.sha2("_below", 256), 1, 15), 16, 10).cast("bigint")
     url = F.concat(F.lit(base_url.rstrip("/") + "/"), "_below") if base_url else F.col("_file")
     return files.select(number.alias("page_id"), url.alias("url"), "html")

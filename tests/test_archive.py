@@ -359,6 +359,14 @@ def test_files_are_listed_and_read_by_tasks(spark, tmp_path, monkeypatch):
     assert readers.whole_files(spark, str(tmp_path / "none"), "*.html").count() == 0
 
 
+def test_page_files_are_no_list_of_the_driver(spark, tmp_path):
+    for i in range(30):
+        (tmp_path / f"p{i}.html").write_text(f"<p>{i}</p>")
+    pages = readers.scan_page_files(spark, str(tmp_path), base_url="http://s.example")
+    assert not any(f.endswith(".html") for f in pages.inputFiles())
+    assert {r.url: r.html for r in pages.collect()} == {f"http://s.example/p{i}.html": f"<p>{i}</p>" for i in range(30)}
+
+
 def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
     from folioworks.operators.joins import remaining
 
