@@ -77,9 +77,9 @@ def shuffles_freed(spark: SparkSession):
         spark.conf.set(FREE_SHUFFLES, before)
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
+def materialise(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors. ``compression``: else that of the session."""
     path = fresh_path(df.sparkSession, name)
     with shuffles_freed(df.sparkSession):
-        df.write.parquet(path)
+        df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)

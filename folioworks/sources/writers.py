@@ -14,7 +14,7 @@ from folioworks.operators.aggregates import count_posts
 from folioworks.operators.filters import changed, drop_blank
 from folioworks.operators.ordering import newest_first
 from folioworks.operators.render import master_entry
-from folioworks.session import materialise, qualified
+from folioworks.session import materialise, qualified, shuffles_freed
 from folioworks.sources.readers import completed_generation, scan_completed
 
 
@@ -55,7 +55,9 @@ def write_posts(df: DataFrame, path: str, site: Site = Site(), form: str = "parq
         return F.coalesce(F.regexp_extract("url", site.dated_pattern, i).try_cast("int"), F.lit(0))
 
     rows = drop_blank(df, ["url"]).drop("raw_html").withColumns({"year": part(1), "month": part(2)})
-    rows.hint("rebalance", "year", "month").write.mode(mode).partitionBy("year", "month").format(form).save(path)
+    writer = rows.hint("rebalance", "year", "month").write.mode(mode).partitionBy("year", "month").format(form)
+    with shuffles_freed(df.sparkSession):
+        (writer.option("compression", "zstd") if form == "parquet" else writer).save(path)
 
 
 def write_bucketed(df: DataFrame, table: str, path: str, key: str = "url", buckets: int = 1024) -> None:
@@ -182,13 +184,16 @@ def update_archive(pairs: DataFrame, path: str, before: str = "content", after:
     spark = pairs.sparkSession
     month = ["year", "month"]
     found = changed(pairs, before, after).select(F.col(key).alias("_key"), F.col(before).alias("_old"), F.col(after).alias("_new"))
-    new = found.groupBy("_key", F.xxhash64("_old").alias("_hash")).agg(F.min("_new").alias("_new"))
-    new = materialise(new.where("_key IS NOT NULL"), "new-texts")
+    found = found.where("_key IS NOT NULL").select("_key", F.xxhash64("_old").alias("_hash"), "_new")
+    # Written as they come: rows that repeat meet where the texts move to the rows of the archive.
+    texts = materialise(found, "new-texts", compression="zstd")
+    new = texts.groupBy("_key", "_hash").agg(F.min("_new").alias("_new"))
     archive = spark.read.parquet(path)
     keyed = archive.withColumns({"_key": F.col(key), "_hash": F.xxhash64(before)})
     # Months are found on narrow columns; there are few, and a partition filter made of them prunes the read.
-    months = keyed.select("_key", "_hash", *month).join(new.select("_key", "_hash"), ["_key", "_hash"], "left_semi").select(*month).distinct()
+    months = keyed.select("_key", "_hash", *month).join(texts.select("_key", "_hash"), ["_key", "_hash"], "left_semi").select(*month).distinct()
     months = materialise(months, "changed-months")
-    rows = keyed.join(months, month, "left_semi").join(new, ["_key", "_hash"], "left")
+    rows = keyed.join(months, month, "left_semi").join(new.hint("merge"), ["_key", "_hash"], "left")  # texts unpack to many times their files
     rows = rows.withColumn(before, F.coalesce("_new", before)).select(*archive.columns).hint("rebalance", *month)
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*month).parquet(path)
+    with shuffles_freed(spark):
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*month).parquet(path, compression="zstd")

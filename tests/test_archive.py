@@ -570,3 +570,27 @@ def test_archive_rewritten_from_its_own_texts(spark, tmp_path):
     got = {r.url: r.content for r in readers.scan_posts(spark, path).collect()}
     assert got == {u: "new" if "/1/1/" in u else f"text {u}" for u in urls}
     assert set(shared.glob("changed-partitions-*")) == before
+
+
+def test_archive_update_moves_new_texts_once(spark, tmp_path, monkeypatch):
+    """Changed texts are written as they come, small, and rows that repeat meet later; of several new texts the least counts."""
+    import pyarrow.parquet as pq
+
+    plans = {}
+
+    def noted(df, name, **options):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return materialise(df, name, **options)
+
+    materialise = writers.materialise
+    path, table = str(tmp_path / "posts"), str(tmp_path / "pairs")
+    rows = [(f"http://x.example/blog/2020/{1 + i % 3}/1/p{i}.html", f"text {i}") for i in range(12)] + [("http://x.example/blog/2020/1/1/p0.html", "text 0")]
+    writers.write_posts(spark.createDataFrame(rows, "url string, content string"), path)
+    changes = [(u, c, f"{new} {c}") for u, c in rows if u.endswith(("p0.html", "p4.html")) for new in ("b", "a")] + [(None, "x", "y")]
+    spark.createDataFrame(changes, "url string, content string, rewritten string").write.parquet(table)
+    monkeypatch.setattr(writers, "materialise", noted)
+    writers.update_archive(spark.read.parquet(table), path)
+    assert "Exchange" not in plans["new-texts"]
+    got = sorted((r.url, r.content) for r in readers.scan_posts(spark, path).collect())
+    assert got == sorted((u, f"a {c}" if c in ("text 0", "text 4") else c) for u, c in rows)
+    assert {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in tmp_path.glob("posts/*/month=1/*.parquet")} == {"ZSTD"}
